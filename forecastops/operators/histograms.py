@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecastops.operators.ranking import quantiles
-from forecastops.session import lookup
+from forecastops.session import cut, small_side
 
 BINS = 20
 #: distinct values from which a column gets quantile bins
@@ -121,8 +121,8 @@ def histogram(
     Each input row meets one row of edges (its segment's) and is folded into bin counts on the map side; neither raw nor
     exploded rows are shuffled.
     """
-    held = lookup(edges)
-    per_segment = lookup(
+    held = cut(edges)
+    per_segment = small_side(
         held.groupBy(seg).agg(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_e_{c}") for c in columns])
     )
     binned = df.select(*time, seg, *columns).join(per_segment, seg)

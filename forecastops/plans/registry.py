@@ -13,6 +13,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 DIGITS = 6
+#: rounding first to more digits keeps a sum's last bits from deciding a tie
+GUARD_DIGITS = 9
 
 
 def query(name: str, sql: str | None = None, rounded: str = "") -> Callable[[Query], Query]:
@@ -32,16 +34,15 @@ def query(name: str, sql: str | None = None, rounded: str = "") -> Callable[[Que
 
 
 def round_doubles(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[F.round(f.name, DIGITS).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema]
-    )
+    short = lambda c: F.round(F.round(c, GUARD_DIGITS), DIGITS).alias(c)
+    return df.select(*[short(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema])
 
 
 def round_sql(sql: str, columns: list[str]) -> str:
     if not columns:
         return sql
     # adding 0 turns a negative zero into zero
-    parts = ", ".join(f"ROUND(CAST({c} AS DOUBLE), {DIGITS}) + 0 AS {c}" for c in columns)
+    parts = ", ".join(f"ROUND(ROUND(CAST({c} AS DOUBLE), {GUARD_DIGITS}), {DIGITS}) + 0 AS {c}" for c in columns)
     return f"SELECT * REPLACE ({parts}) FROM ({sql}) AS t"
 
 
