@@ -53,8 +53,10 @@ def metric_rollup(
         .agg(*[F.sum(n).alias(n) for n in sums])
     )
     chosen = dict(metrics or m.monitored())
-    wide = totals.select(*base, "aggregated_col", "aggregated_value", *[c.cast("double").alias(n) for n, c in chosen.items()])
-    return wide.unpivot([*base, "aggregated_col", "aggregated_value"], list(chosen), "metric_col", "metric_value")
+    values = F.array(*[F.struct(F.lit(n).alias("k"), c.cast("double").alias("v")) for n, c in chosen.items()])
+    return totals.select(*base, "aggregated_col", "aggregated_value", F.explode(values).alias("_m")).select(
+        *base, "aggregated_col", "aggregated_value", F.col("_m.k").alias("metric_col"), F.col("_m.v").alias("metric_value")
+    )
 
 
 def metric_baseline(history: DataFrame, keys: Sequence[str] = ("model_version",)) -> DataFrame:
