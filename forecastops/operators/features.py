@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forecastops.functions.calendar import day_of_week, iso_week, iso_week_monday, week_start
 from forecastops.operators.ranking import add_ntile
+from forecastops.session import cut
 
 # Season rules of the temporal and product views (months), and the activity levels (weeks with a
 # purchase, highest first).
@@ -214,7 +215,8 @@ def product_view(tx: DataFrame, products: DataFrame, as_of: Column) -> DataFrame
         F.bit_count(day_bits).alias("days4"),
         F.sum(F.when(age >= 28, F.col("units"))).alias("u58"),
     )
-    base = products.join(per_product, "product_id", "left")
+    # one row per product, written once: the categories and their total are read from it
+    base = cut(products.join(per_product, "product_id", "left"))
     per_category = base.groupBy("category").agg(F.sum("u4").alias("category_units"), F.count(F.lit(1)).alias("members"))
     # every product row carries its category's units, so a category counts once per product in the total
     whole = per_category.agg(F.sum(F.col("category_units") * F.col("members")).alias("t"))

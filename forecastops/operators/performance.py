@@ -133,15 +133,12 @@ def compare_versions(
 
 def version_metrics(shadow: DataFrame, y: str = "actual") -> DataFrame:
     """MAE, RMSE and MAPE of candidate and production on the same rows, side by side with the difference."""
-    def side(name: str) -> list[Column]:
-        return [c.alias(f"{name}_{n}") for n, c in m.error_sums(y, name).items()]
-
-    sums = shadow.agg(*side("candidate"), *side("production"))
-    rows = []
-    for name in ("candidate", "production"):
-        renamed = sums.select(*[F.col(f"{name}_{n}").alias(n) for n in m.error_sums(y, name)])
-        rows.append(renamed.select(F.lit(name).alias("version"), m.mae().alias("mae"), m.rmse().alias("rmse"), m.mape("one").alias("mape")))
-    long = rows[0].unionByName(rows[1]).unpivot(["version"], ["mae", "rmse", "mape"], "metric_col", "metric_value")
-    value = lambda v: F.max(F.when(F.col("version") == v, F.col("metric_value")))
-    out = long.groupBy("metric_col").agg(value("candidate").alias("candidate"), value("production").alias("production"))
+    versions = ("candidate", "production")
+    each = F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.col(v).alias("p")) for v in versions]))
+    sums = shadow.select(y, each.alias("c")).select(y, "c.*").groupBy("version")
+    wide = sums.agg(*[c.alias(n) for n, c in m.error_sums(y, "p").items()])
+    chosen = {"mae": m.mae(), "rmse": m.rmse(), "mape": m.mape("one")}
+    values = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_col"), c.alias("v")) for n, c in chosen.items()]))
+    value = lambda v: F.max(F.when(F.col("version") == v, F.col("v"))).alias(v)
+    out = wide.select("version", values.alias("c")).select("version", "c.*").groupBy("metric_col").agg(*map(value, versions))
     return out.withColumn("difference", F.col("candidate") - F.col("production"))

@@ -147,7 +147,7 @@ def _alert(v: str, warn: float, crit: float) -> str:
     "psi",
 )
 def psi_alert(spark, sf):
-    shares = hi.proportions(grouped(spark, sf), ["week"], SEG)
+    shares = cut(hi.proportions(grouped(spark, sf), ["week"], SEG))
     return dr.psi(production(shares), baseline(shares), SEG, ["week"])
 
 
@@ -197,7 +197,7 @@ CATEGORIES = f"""cat AS (
     "chi_square cramers_v",
 )
 def chi_square_drift(spark, sf):
-    rows = grouped(spark, sf)
+    rows = cut(grouped(spark, sf))
     count = lambda part: hi.category_shares(part, ["week"], SEG, ["brand", "cust_category"])
     return dr.chi_square(count(baseline(rows)), count(production(rows)), [SEG, "feature"])
 
@@ -282,7 +282,7 @@ def metric_baseline(spark, sf):
     "metric_value baseline_metric metric_drift",
 )
 def relative_drift_alert(spark, sf):
-    metrics = _metrics(spark, sf)
+    metrics = cut(_metrics(spark, sf))
     return al.relative_alert(production(metrics), pf.metric_baseline(baseline(metrics)))
 
 
@@ -306,7 +306,7 @@ IN_CONTROL = f"week >= {SPLIT_WEEK} AND week <= 200015"
 )
 def sigma_alert(spark, sf):
     """Control limits from the first 15 production weeks, applied to the later ones."""
-    metrics = _metrics(spark, sf)
+    metrics = cut(_metrics(spark, sf))
     early = metrics.where((F.col("week") >= SPLIT_WEEK) & (F.col("week") <= 200015))
     return al.sigma_alert(metrics.where("week > 200015"), early, early.select("model_version", "week"))
 
@@ -390,7 +390,7 @@ def forecast_vs_sales(spark, sf):
     models = F.array(*[F.struct(F.lit(m).alias("u"), F.lit(f).alias("f")) for m, f in (("models:/naive/1", 1.0), ("models:/naive/2", 0.9))])
     fc = rows.withColumn("m", F.explode(models)).select(*ROW_IDS, F.col("m.u").alias("model_uri"), (F.col("prediction") * F.col("m.f")).alias("prediction"))
     sales = production(weekly_sales(spark, sf)).where("y > 10").withColumnRenamed("y", "actual")
-    both = pf.forecast_vs_sales(fc, sales, ROW_IDS)
+    both = pf.forecast_vs_sales(cut(fc), sales, ROW_IDS)
     return both.groupBy("week", "model_uri").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("actual").alias("actual"), F.sum("prediction").alias("prediction"),
         (F.sum(F.abs(F.col("actual") - F.col("prediction"))) / F.greatest(F.sum(F.abs("actual")), F.lit(1e-10))).alias("wape"),
@@ -407,7 +407,7 @@ def forecast_vs_sales(spark, sf):
     "avg_sum_p4w std_sum_p4w avg_y std_y",
 )
 def distribution_compare(spark, sf):
-    rows = grouped(spark, sf)
+    rows = cut(grouped(spark, sf))
     return pf.compare_distributions({"BASELINE": baseline(rows), "INFERENCE": production(rows)}, SEG, ["sum_p4w", "y"])
 
 

@@ -239,7 +239,7 @@ def random_trial_search(spark, sf):
 )
 def resolved_params(spark, sf):
     """Parameters per group: best run, else latest table row, else default."""
-    rows = grouped(spark, sf)
+    rows = cut(grouped(spark, sf))
     runs = rows.groupBy(SEG, F.col("brand").alias("params")).agg(
         F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))).alias("val_rmse"), F.sum("y").alias("created_at")
     )
@@ -279,7 +279,7 @@ def canary_score(spark, sf):
 
 
 def _shadow(spark, sf):
-    rows = production(grouped(spark, sf)).withColumnRenamed("y", "actual")
+    rows = cut(production(grouped(spark, sf))).withColumnRenamed("y", "actual")
     mean = rows.withColumn("prediction", F.col("sum_past_4_weeks") / 4)
     return pf.compare_versions(mean, rows, rows, ROW_IDS)
 

@@ -57,7 +57,7 @@ TX = """tx AS (
          CAST(o.o_orderdate AS DATE) AS tx_date, l.l_quantity AS units, l.l_extendedprice AS revenue
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
-LAST_DAY = "last_day AS (SELECT MAX(tx_date) AS d FROM tx)"
+LAST_DAY = "last_day AS (SELECT CAST(MAX(o_orderdate) AS DATE) AS d FROM orders)"
 
 PANEL = """panel AS (
   SELECT c.c_nationkey AS customer_id, p.p_type AS brand,

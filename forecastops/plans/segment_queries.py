@@ -70,7 +70,7 @@ DESCRIPTIONS = "CASE segment " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in s
 @query("six_way_segments", with_([TX, LAST_DAY, SIX], f"SELECT *, {DESCRIPTIONS} FROM six"), "total_units_4w")
 def six_way_segments(spark, sf):
     tx = transactions(spark, sf)
-    return sg.six_way_segments(tx, customers(spark, sf), last_day(tx))
+    return sg.six_way_segments(tx, customers(spark, sf), last_day(spark, sf))
 
 
 @query(
@@ -80,7 +80,7 @@ def six_way_segments(spark, sf):
 )
 def segment_share(spark, sf):
     tx = transactions(spark, sf)
-    return sg.share_of_total(sg.six_way_segments(tx, customers(spark, sf), last_day(tx)), ["segment"])
+    return sg.share_of_total(sg.six_way_segments(tx, customers(spark, sf), last_day(spark, sf)), ["segment"])
 
 
 @query(
@@ -89,7 +89,7 @@ def segment_share(spark, sf):
 )
 def pattern_support(spark, sf):
     tx = transactions(spark, sf)
-    return sg.pattern_support(sg.six_way_segments(tx, customers(spark, sf), last_day(tx)), "segment", "purchase_pattern")
+    return sg.pattern_support(sg.six_way_segments(tx, customers(spark, sf), last_day(spark, sf)), "segment", "purchase_pattern")
 
 
 @query(

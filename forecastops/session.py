@@ -24,6 +24,7 @@ def build_session(app: str = "forecastops", master: str | None = None, **conf: s
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

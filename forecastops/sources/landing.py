@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecastops.functions.calendar import calmonth, week_to_date
 from forecastops.session import cut, small_side
 from forecastops.sources.tables import read_or_empty
 
@@ -44,6 +45,8 @@ def upsert_path(
     (
         upsert(current, source, keys)
         .select(source.columns)
+        # few files per partition, a large partition spread over several tasks (AQE)
+        .hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -67,11 +70,16 @@ def new_combos(
 
     Compare with the *metric* table, not the histogram table, so that a run that broke off between the two is repeated.
     """
-    wanted = predictions.select(F.col("entity_map")["week"].cast("int").alias("week"), "model_version")
+    week = F.col("entity_map")["week"].cast("int").alias("week")
+    wanted = predictions.select(week, "model_version")
     if min_week is not None:
+        if "calmonth" in predictions.columns:
+            # the month follows from the week, and datasets are partitioned by it
+            first_month = calmonth(week_to_date(F.lit(min_week)))
+            wanted = predictions.where(F.col("calmonth") >= first_month).select(week, "model_version")
         wanted = wanted.where(F.col("week") >= min_week)
     done = landed.where((F.col("aggregated_col") == agg_col) & (F.col("metric_col") == metric)).select(
-        F.col("entity_map")["week"].cast("int").alias("week"), "model_version"
+        week, "model_version"
     )
     return missing_slices(wanted, done, ["week", "model_version"])
 

@@ -63,10 +63,28 @@ def land(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], par
     query.awaitTermination()
 
 
-def refresh(spark: SparkSession, source: DataFrame, compute: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
-    """Recompute a view from the rows that arrived since the last run and upsert it by (entity, time)."""
+def refresh(
+    spark: SparkSession,
+    source: DataFrame,
+    recompute: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+) -> None:
+    """Bring a feature view up to date with the rows that arrived since the last run, and stop.
+
+    ``recompute`` gets the arrived rows and returns the view's rows to replace; a view with a look-back window reads the
+    history of the entities that occur in them.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        upsert_path(batch.sparkSession, path, compute(batch), keys, partition_by)
+        upsert_path(spark, path, recompute(batch), keys, partition_by)
 
-    source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    query = (
+        source.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
