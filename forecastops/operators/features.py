@@ -149,11 +149,21 @@ def activity_level(weeks: str | Column) -> Column:
     return out.otherwise(INACTIVE)
 
 
+def _daily(tx: DataFrame) -> DataFrame:
+    """Sums per customer and day: fewer rows to hand to look-back windows."""
+    return tx.groupBy("customer_id", "tx_date").agg(
+        F.sum("revenue").alias("_revenue"),
+        F.count("revenue").alias("_n_revenue"),
+        F.sum("units").alias("_units"),
+        F.count("units").alias("_n_units"),
+    )
+
+
 def _behaviour(at: Column, days: int) -> list[Column]:
-    """Aggregates of a look-back window that ends at ``at``.
+    """Aggregates of daily sums over a look-back window that ends at ``at``.
 
-    The window has at most 62 days, so distinct days and weeks are bits of a number: no distinct aggregation, and one
-    shuffle with map-side combine.
+    The window is short, so distinct days and weeks are bits of a number: no distinct aggregation, and one shuffle with
+    map-side combine.
     """
     if days > 55:
         raise ValueError("a look-back window holds at most 55 days")
@@ -161,42 +171,44 @@ def _behaviour(at: Column, days: int) -> list[Column]:
     weeks_back = (F.datediff(week_start(at), week_start("tx_date")) / 7).cast("int")
     bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n)
     return [
-        F.avg("revenue").alias("avg_weekly_purchase_amount"),
+        F.try_divide(F.sum("_revenue"), F.sum("_n_revenue")).alias("avg_weekly_purchase_amount"),
         F.bit_count(F.bit_or(bit(weeks_back))).cast("bigint").alias("purchase_frequency_last_4_weeks"),
         F.min(age).alias("days_since_last_purchase"),
-        F.sum("units").alias("total_units_4_weeks"),
+        F.sum("_units").alias("total_units_4_weeks"),
         F.bit_count(F.bit_or(bit(age))).cast("bigint").alias("purchase_days_last_4_weeks"),
-        F.avg("units").alias("avg_units_per_transaction"),
+        F.try_divide(F.sum("_units"), F.sum("_n_units")).alias("avg_units_per_transaction"),
     ]
 
 
+def _ranked_behaviour(seen: DataFrame, group: Sequence[str]) -> DataFrame:
+    ranked = add_ntile(seen, group, ["total_units_4_weeks", "customer_id"], 4, "customer_volume_quartile")
+    return ranked.withColumn("activity_level", activity_level("purchase_frequency_last_4_weeks"))
+
+
 def customer_view(tx: DataFrame, as_of: Column, days: int = 28) -> DataFrame:
     """Customer behaviour over the ``days`` up to ``as_of``: amounts, frequency, recency, volume quartile, activity."""
-    window = tx.withColumn("feature_ts", as_of).where(
-        (F.col("tx_date") >= F.date_sub("feature_ts", days)) & (F.col("tx_date") <= F.col("feature_ts"))
-    )
-    seen = window.groupBy("customer_id", "feature_ts").agg(*_behaviour(F.col("feature_ts"), days))
-    ranked = add_ntile(seen, [], ["total_units_4_weeks", "customer_id"], 4, "customer_volume_quartile")
-    return ranked.withColumn("activity_level", activity_level("purchase_frequency_last_4_weeks"))
+    window = tx.where((F.col("tx_date") >= F.date_sub(as_of, days)) & (F.col("tx_date") <= as_of))
+    seen = _daily(window).withColumn("feature_ts", as_of).groupBy("customer_id", "feature_ts")
+    return _ranked_behaviour(seen.agg(*_behaviour(F.col("feature_ts"), days)), [])
 
 
 def customer_view_pit(tx: DataFrame, days: int = 28) -> DataFrame:
     """Customer behaviour at every week start that has transactions, from the ``days`` before that Monday.
 
-    Each transaction is handed to the few Mondays whose window covers it and combined on the map side; there is no range
-    join. ``ts - days <= date < ts``.
+    Transactions are summed per customer and day, and each day is handed to the few Mondays whose window covers it; there
+    is no range join. ``ts - days <= date < ts``.
     """
+    daily = cut(_daily(tx))
     first = F.date_add(week_start("tx_date"), 7)
     covered = F.sequence(first, F.date_add("tx_date", days), F.expr("INTERVAL 7 DAYS"))
-    spine = tx.select(week_start("tx_date").alias("feature_ts")).distinct()
+    spine = daily.select(week_start("tx_date").alias("feature_ts")).distinct()
     seen = (
-        tx.withColumn("feature_ts", F.explode(F.when(first <= F.date_add("tx_date", days), covered)))
+        daily.withColumn("feature_ts", F.explode(F.when(first <= F.date_add("tx_date", days), covered)))
         .groupBy("customer_id", "feature_ts")
         .agg(*_behaviour(F.col("feature_ts"), days))
         .join(spine, "feature_ts", "left_semi")
     )
-    ranked = add_ntile(seen, ["feature_ts"], ["total_units_4_weeks", "customer_id"], 4, "customer_volume_quartile")
-    return ranked.withColumn("activity_level", activity_level("purchase_frequency_last_4_weeks"))
+    return _ranked_behaviour(seen, ["feature_ts"])
 
 
 def product_view(tx: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:

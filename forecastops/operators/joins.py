@@ -28,6 +28,8 @@ def asof_join(
     3. across buckets the last feature row of each earlier bucket is carried, one row per (entity, bucket);
     4. the answer of a pair is joined back to the spine rows that share it.
 
+    The spine is read three times and the features twice: pass stored frames where making them is expensive.
+
     Of feature rows with equal entity and time the greatest by ``tie_break`` wins (all columns if none is given).
     """
     values = [c for c in features.columns if c not in keys and c != feature_ts]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from forecastops.operators.features import training_features
 from forecastops.operators.segments import pattern_group, stats_group_by_activity
 from forecastops.plans.registry import SHORT_FAMILY, SPLIT_WEEK
+from forecastops.session import store
 from forecastops.sources.tables import transactions, weekly_sales
 
 SERIES_IDS = ["customer_id", "brand"]
@@ -39,6 +40,11 @@ def grouped(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`grouped` as a written table, for queries that read it more than once."""
+    return store(grouped(spark, folder))
+
+
 def baseline(df: DataFrame) -> DataFrame:
     return df.where(F.col("week") < SPLIT_WEEK)
 
@@ -47,4 +53,4 @@ def production(df: DataFrame) -> DataFrame:
     return df.where(F.col("week") >= SPLIT_WEEK)
 
 
-__all__ = ["ROW_IDS", "SERIES_IDS", "baseline", "features", "grouped", "last_day", "production", "transactions", "weekly_sales"]
+__all__ = ["ROW_IDS", "SERIES_IDS", "baseline", "features", "grouped", "last_day", "production", "stored_groups", "transactions", "weekly_sales"]

@@ -11,7 +11,7 @@ from forecastops.operators import histograms as hi
 from forecastops.operators import performance as pf
 from forecastops.operators.features import guarded_lags
 from forecastops.operators.ranking import add_ntile
-from forecastops.plans.frames import ROW_IDS, SERIES_IDS, baseline, grouped, production, weekly_sales
+from forecastops.plans.frames import ROW_IDS, SERIES_IDS, baseline, grouped, production, stored_groups, weekly_sales
 from forecastops.session import cut
 from forecastops.plans.registry import BASE, PANEL, SPLIT_WEEK, TX, lag_sql, query, with_
 
@@ -58,13 +58,13 @@ JSD = "SQRT(0.5 * SUM(p * LN(p / ((p + q) / 2))) + 0.5 * SUM(q * LN(q / ((p + q)
 
 
 def _edges(spark, sf, low, high):
-    base = baseline(cut(grouped(spark, sf)))
+    base = baseline(stored_groups(spark, sf))
     return hi.bin_edges(base, SEG, low, high, exact=True)
 
 
 def _histograms(spark, sf, low, high):
     """Baseline and production histograms on the baseline's bins, from the features written once."""
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     edges = hi.bin_edges(baseline(rows), SEG, low, high, exact=True)
     cols = [*low, *high]
     return hi.histogram(baseline(rows), ["week"], SEG, cols, edges), hi.histogram(production(rows), ["week"], SEG, cols, edges)
@@ -197,7 +197,7 @@ CATEGORIES = f"""cat AS (
     "chi_square cramers_v",
 )
 def chi_square_drift(spark, sf):
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     count = lambda part: hi.category_shares(part, ["week"], SEG, ["brand", "cust_category"])
     return dr.chi_square(count(baseline(rows)), count(production(rows)), [SEG, "feature"])
 
@@ -220,7 +220,7 @@ def chi_square_drift(spark, sf):
     "js_distance",
 )
 def univariate_drift(spark, sf):
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     return dr.univariate_drift(baseline(rows), production(rows), SEG, continuous=HIGH, categorical=["brand"], exact=True)
 
 
@@ -407,7 +407,7 @@ def forecast_vs_sales(spark, sf):
     "avg_sum_p4w std_sum_p4w avg_y std_y",
 )
 def distribution_compare(spark, sf):
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     return pf.compare_distributions({"BASELINE": baseline(rows), "INFERENCE": production(rows)}, SEG, ["sum_p4w", "y"])
 
 

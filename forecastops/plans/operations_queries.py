@@ -18,7 +18,7 @@ from forecastops.operators import reports as rp
 from forecastops.operators import scoring as sc
 from forecastops.operators import split as sp
 from forecastops.operators import training as tr
-from forecastops.plans.frames import ROW_IDS, baseline, grouped, production, weekly_sales
+from forecastops.plans.frames import ROW_IDS, baseline, grouped, production, stored_groups, weekly_sales
 from forecastops.plans.monitoring_queries import EDGES, F1, HIST, JSD, SHARES, SUMS
 from forecastops.plans.registry import BASE, PANEL, SPLIT_WEEK, TX, query, with_
 from forecastops.plans.segment_queries import BUCKET, RANKED
@@ -162,7 +162,7 @@ def grouped_fit(spark, sf):
 
 @query("partitioned_score", with_([*BASE, FIT], "SELECT customer_id, brand, week, stats_group, intercept + slope * w_m1_total AS score FROM grouped JOIN fit USING (stats_group)"), "score")
 def partitioned_score(spark, sf):
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     models = tr.grouped_fit(rows, SEG, ["w_m1_total"], "y")
     return sc.partitioned_score(rows, models, SEG, ["w_m1_total"], prediction="score").select(*ROW_IDS, SEG, "score")
 
@@ -174,7 +174,7 @@ CANDIDATES = """cand AS (
 
 
 def _candidates(spark, sf):
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     scored = sc.partitioned_score(rows, tr.grouped_fit(rows, SEG, ["w_m1_total"], "y"), SEG, ["w_m1_total"], prediction="linear")
     columns = {"naive": "w_m1_total", "mean_4": F.col("sum_past_4_weeks") / 4, "mean_12": "avg_past_12_weeks", "linear": "linear"}
     return tr.candidate_metrics(scored, SEG, "y", columns)
@@ -201,7 +201,7 @@ trials AS (
 
 
 def _trials(spark, sf):
-    rows = sp.temporal_split(cut(grouped(spark, sf)), SEG, "week", ["customer_id", "brand"])
+    rows = sp.temporal_split(stored_groups(spark, sf), SEG, "week", ["customer_id", "brand"])
     trials = [{"trial": i, "ridge": p, "features": [0]} for i, p in enumerate(PENALTIES)]
     return tr.trial_search(rows, SEG, ["w_m1_total"], "y", trials).drop("params")
 
@@ -239,7 +239,7 @@ def random_trial_search(spark, sf):
 )
 def resolved_params(spark, sf):
     """Parameters per group: best run, else latest table row, else default."""
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     runs = rows.groupBy(SEG, F.col("brand").alias("params")).agg(
         F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))).alias("val_rmse"), F.sum("y").alias("created_at")
     )
@@ -272,7 +272,7 @@ def canary_split(spark, sf):
 )
 def canary_score(spark, sf):
     """30 percent of the keys scored by the newer fit, the rest by the older."""
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     fit = lambda part, v: tr.models_frame(spark, tr.grouped_fit(part, SEG, ["w_m1_total"], "y"), "linear", v)
     out = sc.canary_score(rows.drop("prediction"), ROW_IDS, 30, fit(production(rows), "v2"), fit(baseline(rows), "v1"), SEG, ["w_m1_total"])
     return out.select(*ROW_IDS, "model_version", F.col("prediction").alias("score"))
@@ -375,7 +375,7 @@ ROLLBACK_LIMITS = {"psi": 0.01, "kl": 0.002, "rmse_increase": 0.01, "min_samples
 )
 def rollback_decision(spark, sf):
     """Decision per group from brand-share drift and the change of the forecast error, with narrow limits."""
-    rows = cut(grouped(spark, sf))
+    rows = stored_groups(spark, sf)
     is_new = F.col("week") >= SPLIT_WEEK
     shares = dr.bin_probabilities(
         rows.groupBy(is_new.alias("new"), SEG, F.col("brand").alias("bin")).agg(F.count(F.lit(1)).alias("bin_count")), ["new"], [SEG]

@@ -9,9 +9,10 @@ from forecastops.operators import quality as qa
 from forecastops.operators import segments as sg
 from forecastops.operators import split as sp
 from forecastops.plans.feature_queries import INFERENCE_FROM, ROLLUP
-from forecastops.plans.frames import ROW_IDS, baseline, features, grouped, last_day, production, weekly_sales
+from forecastops.plans.frames import ROW_IDS, baseline, features, grouped, last_day, production, stored_groups, weekly_sales
 from forecastops.plans.registry import BASE, BITS, FEATURES, LAST_DAY, PANEL, SIX, SPLIT_WEEK, TX, query, with_
 from forecastops.operators.features import weekly_rollup
+from forecastops.session import store
 from forecastops.sources.tables import customers, products, transactions
 
 PATTERNED = [TX, PANEL, FEATURES, f'pat AS (SELECT *, {BITS} AS "group" FROM features)']
@@ -41,7 +42,7 @@ SURPLUS = """surplus AS (SELECT * REPLACE (GREATEST(y - 20 * (4 - LENGTH(REPLACE
 )
 def stats_group_quartile(spark, sf):
     """Quartile rule on a target lowered by pattern, so that all four groups can occur."""
-    rows = sg.pattern_group(features(spark, sf))
+    rows = store(sg.pattern_group(features(spark, sf)))
     idle = 4 - F.length(F.replace("group", F.lit("0"), F.lit("")))
     lowered = rows.withColumn("y", F.greatest(F.col("y") - 20 * idle, F.lit(0.0)))
     return sg.stats_group_by_quartile(lowered, "y", exact=True).select(*ROW_IDS, "group", "stats_group", "y")
@@ -128,7 +129,7 @@ def null_profile(spark, sf):
     "min_value max_value mean_value stddev_value q1 median q3",
 )
 def target_distribution(spark, sf):
-    return qa.target_distribution(weekly_sales(spark, sf), "y")
+    return qa.target_distribution(store(weekly_sales(spark, sf)), "y")
 
 
 @query(
@@ -154,7 +155,7 @@ def revenue_quantiles(spark, sf):
     "min_outlier max_outlier",
 )
 def outliers_3sigma(spark, sf):
-    return qa.outliers_3sigma(weekly_sales(spark, sf), "y")
+    return qa.outliers_3sigma(store(weekly_sales(spark, sf)), "y")
 
 
 @query(
@@ -189,7 +190,7 @@ def group_check(spark, sf):
     ),
 )
 def dataset_comparison(spark, sf):
-    rows = grouped(spark, sf)
+    rows = stored_groups(spark, sf)
     sets = {"all": features(spark, sf), "train": baseline(rows), "inference": production(rows)}
     return qa.dataset_comparison(sets, "customer_id", "week")
 
@@ -233,7 +234,7 @@ def sufficiency(spark, sf):
     ),
 )
 def schema_compat(spark, sf):
-    rows = grouped(spark, sf)
+    rows = stored_groups(spark, sf)
     train = baseline(rows).select(*ROW_IDS, "y", "sum_p4w", "w_m1_total", "avg_past_12_weeks")
     inference = production(rows).select(*ROW_IDS, "sum_p4w", "w_m1_total", "quarter")
     return qa.schema_compat(train, inference, [*ROW_IDS, "Y"])
@@ -304,7 +305,7 @@ cuts AS (SELECT stats_group, CAST(MIN(week) AS INTEGER) AS cutoff_week FROM (
 
 @query("clean_p99", with_([*BASE, CLEANED], "SELECT customer_id, brand, week, stats_group, y FROM cleaned"), "y")
 def clean_p99(spark, sf):
-    return sp.clean(grouped(spark, sf), ROW_IDS, "y").select(*ROW_IDS, "stats_group", "y")
+    return sp.clean(stored_groups(spark, sf), ROW_IDS, "y").select(*ROW_IDS, "stats_group", "y")
 
 
 @query(
@@ -313,12 +314,12 @@ def clean_p99(spark, sf):
     "y",
 )
 def clip_p99(spark, sf):
-    return sp.clean(grouped(spark, sf), ROW_IDS, "y", mode="clip").select(*ROW_IDS, "y")
+    return sp.clean(stored_groups(spark, sf), ROW_IDS, "y", mode="clip").select(*ROW_IDS, "y")
 
 
 @query("holdout_thresholds", with_([*BASE, CLEANED, CUTS], "SELECT * FROM cuts"))
 def holdout_thresholds(spark, sf):
-    return sp.holdout_thresholds(sp.clean(grouped(spark, sf), ROW_IDS, "y"), "stats_group", "week")
+    return sp.holdout_thresholds(sp.clean(stored_groups(spark, sf), ROW_IDS, "y"), "stats_group", "week")
 
 
 @query(
@@ -327,7 +328,7 @@ def holdout_thresholds(spark, sf):
     "y",
 )
 def train_split(spark, sf):
-    train, _ = sp.clean_and_holdout(grouped(spark, sf), "stats_group", "week", ["customer_id", "brand"], "y")
+    train, _ = sp.clean_and_holdout(stored_groups(spark, sf), "stats_group", "week", ["customer_id", "brand"], "y")
     return train.select(*ROW_IDS, "stats_group", "y")
 
 
@@ -337,7 +338,7 @@ def train_split(spark, sf):
     "y",
 )
 def holdout_split(spark, sf):
-    _, holdout = sp.clean_and_holdout(grouped(spark, sf), "stats_group", "week", ["customer_id", "brand"], "y")
+    _, holdout = sp.clean_and_holdout(stored_groups(spark, sf), "stats_group", "week", ["customer_id", "brand"], "y")
     return holdout.select(*ROW_IDS, "stats_group", "y")
 
 
@@ -350,7 +351,7 @@ RANKED = """placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY stats_group ORD
     with_([*BASE, RANKED], "SELECT customer_id, brand, week, stats_group, rn > FLOOR(n * CAST(0.8 AS DOUBLE)) AS is_test FROM placed"),
 )
 def temporal_split_8020(spark, sf):
-    out = sp.temporal_split(grouped(spark, sf), "stats_group", "week", ["customer_id", "brand"])
+    out = sp.temporal_split(stored_groups(spark, sf), "stats_group", "week", ["customer_id", "brand"])
     return out.select(*ROW_IDS, "stats_group", "is_test")
 
 

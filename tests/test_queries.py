@@ -10,6 +10,12 @@ from compare import connect, difference, duck_rows, spark_rows
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
+@pytest.fixture(scope="module")
+def sf():
+    """The size at which every segment has enough rows for the SQL to be defined."""
+    return "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     return connect(sf)
