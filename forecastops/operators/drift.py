@@ -155,6 +155,11 @@ def chi_square(reference: DataFrame, analysis: DataFrame, dims: Sequence[str]) -
     return out.select(*dims, "chi_square", F.coalesce(v, F.lit(0.0)).alias("cramers_v"))
 
 
+def with_thresholds(report: DataFrame, thresholds: DataFrame, on: str, value: str) -> DataFrame:
+    """Report rows with their method's threshold and whether it is exceeded; methods without threshold never alert."""
+    return report.join(thresholds, on, "left").withColumn("alert", F.coalesce(F.col(value) > F.col("threshold"), F.lit(False)))
+
+
 def univariate_drift(
     reference: DataFrame,
     analysis: DataFrame,

@@ -53,6 +53,18 @@ def weekly_rollup(tx: DataFrame, inference_from: Column | str) -> DataFrame:
     )
 
 
+def derive_revenue(tx: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue of every line as units times the product's price."""
+    prices = products.select("product_id", F.col("price").alias("_price"))
+    return tx.join(prices, "product_id").withColumn("revenue", F.col("units") * F.col("_price")).drop("_price")
+
+
+def ground_truth_sales(tx: DataFrame, days: DataFrame, day: str, products: DataFrame, ids: Sequence[str], value: str) -> DataFrame:
+    """Sales of the given calendar days per ``ids`` (a product attribute among them), sums that are not positive left out."""
+    sold = tx.join(days.select(F.col(day).alias("tx_date")).distinct(), "tx_date", "left_semi")
+    return sold.join(products, "product_id").groupBy(*ids).agg(F.sum(value).alias(value)).where(F.col(value) > 0)
+
+
 def _series(ids: Sequence[str], week: str):
     return Window.partitionBy(*ids).orderBy(week)
 

@@ -40,6 +40,17 @@ def monitored_columns(df: DataFrame, exclude: Sequence[str] = ()) -> dict[str, l
     return {"low": low, "high": [c for c in numeric if c not in near or counts[c] >= HIGH_CARDINALITY]}
 
 
+def classify_columns(df: DataFrame, exclude: Sequence[str] = (), categorical: Sequence[str] = ()) -> dict[str, list[str]]:
+    """Columns by use: ``excluded``, ``categorical`` (listed, or not numeric) and ``numeric``."""
+    out_of, named = ({c.lower() for c in cs} for cs in (exclude, categorical))
+    out: dict[str, list[str]] = {"excluded": [], "categorical": [], "numeric": []}
+    for f in df.schema:
+        numeric = isinstance(f.dataType, T.NumericType) and f.name.lower() not in named
+        kind = "excluded" if f.name.lower() in out_of else "numeric" if numeric else "categorical"
+        out[kind].append(f.name)
+    return out
+
+
 def low_edges(df: DataFrame, seg: str, columns: Sequence[str]) -> DataFrame:
     """(seg, feature, edges): midpoints between consecutive distinct values of a segment.
 
@@ -71,7 +82,7 @@ def high_edges(df: DataFrame, seg: str, columns: Sequence[str], bins: int = BINS
 def bin_edges(
     df: DataFrame, seg: str, low: Sequence[str], high: Sequence[str], bins: int = BINS, exact: bool = False
 ) -> DataFrame:
-    """Edge arrays of all monitored columns, each by the rule of its class."""
+    """Edge arrays of all monitored columns, each by the rule of its class; computed once, as every histogram uses them."""
     parts = []
     if low:
         parts.append(low_edges(df, seg, low))
@@ -80,7 +91,7 @@ def bin_edges(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return cut(out)
 
 
 def edges_to_bins(edges: DataFrame, seg: str) -> DataFrame:
@@ -119,11 +130,10 @@ def histogram(
     """Rows per (time, segment, feature, bin), every time present with every bin, empty bins 0.
 
     Each input row meets one row of edges (its segment's) and is folded into bin counts on the map side; neither raw nor
-    exploded rows are shuffled.
+    exploded rows are shuffled. ``edges`` is read three times: a stored or otherwise cheap frame.
     """
-    held = cut(edges)
     per_segment = small_side(
-        held.groupBy(seg).agg(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_e_{c}") for c in columns])
+        edges.groupBy(seg).agg(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_e_{c}") for c in columns])
     )
     binned = df.select(*time, seg, *columns).join(per_segment, seg)
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), bin_of(F.col(c), F.col(f"_e_{c}")).alias("bin")) for c in columns])
@@ -134,7 +144,7 @@ def histogram(
         .agg(F.count(F.lit(1)).alias("bin_count"))
     )
     times = df.select(F.struct(*time).alias("t")).distinct().agg(F.collect_list("t")).scalar()
-    scaffold = edges_to_bins(held, seg).withColumn("t", F.explode(times)).select(
+    scaffold = edges_to_bins(edges, seg).withColumn("t", F.explode(times)).select(
         *[F.col(f"t.{c}").alias(c) for c in time], seg, "feature", "bin", "bin_low", "bin_high"
     )
     return scaffold.join(counts, [*time, seg, "feature", "bin"], "left").na.fill(0, ["bin_count"])

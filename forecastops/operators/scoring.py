@@ -122,6 +122,16 @@ def prediction_view(predictions: DataFrame, ids: Mapping[str, str], seg: str) ->
     )
 
 
+def scoring_batches(df: DataFrame, ids: Sequence[str], batches: int) -> DataFrame:
+    """Add ``batch``: rows cut into batches by key hash, the same in every run, without sorting or paging."""
+    return df.withColumn("batch", stable_bucket(batches, *ids))
+
+
+def assign_groups(df: DataFrame, mapping: DataFrame, keys: Sequence[str], seg: str) -> DataFrame:
+    """Rows with the segment their instance is mapped to; unmapped instances have none."""
+    return df.join(mapping.select(*keys, seg), list(keys), "left")
+
+
 def canary_split(df: DataFrame, ids: Sequence[str], percent: int) -> DataFrame:
     """Add ``route``: the given percentage of keys to ``candidate``, the rest to ``production``."""
     return df.withColumn("route", F.when(stable_bucket(100, *ids) < percent, "candidate").otherwise("production"))

@@ -177,7 +177,7 @@ def _version_histogram(todo: DataFrame, rows: DataFrame, stored: DataFrame, seg:
     split = lambda h: h.withColumns(
         {"model_version": F.split_part("_vs", F.lit("/"), F.lit(1)), seg: F.split_part("_vs", F.lit("/"), F.lit(2))}
     )
-    edges = hi.bins_to_edges(stored.withColumn("_vs", both), "_vs")
+    edges = cut(hi.bins_to_edges(stored.withColumn("_vs", both), "_vs"))
     hist = split(hi.histogram(rows.withColumn("_vs", both), ["week"], "_vs", columns, edges)).drop("_vs")
     # bins of a version only at the weeks asked of that version
     return hist.join(todo, ["week", "model_version"], "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from forecastops.functions.calendar import weeks_after
 from forecastops.functions.keys import record_id
 from forecastops.operators import alerts as al
 from forecastops.operators import drift as dr
@@ -311,6 +312,52 @@ def sigma_alert(spark, sf):
     return al.sigma_alert(metrics.where("week > 200015"), early, early.select("model_version", "week"))
 
 
+@query(
+    "sigma_alert_models",
+    with_(
+        [*BASE, "versioned AS (SELECT *, 'sales_' || cust_category AS model_version FROM grouped)",
+         f"metrics AS ({metrics_sql('versioned', ['stats_group'], 'week, model_version')})",
+         """cuts AS (SELECT 'sales_' || cust_category AS model_version, make_date(1999, 12, 27) + 7 * CAST(COUNT(DISTINCT brand) AS INTEGER) AS cutoff FROM grouped GROUP BY 1)""",
+         """weeks AS (SELECT DISTINCT model_version, CAST(isoyear(day) * 100 + weekofyear(day) AS INTEGER) AS week FROM cuts,
+              UNNEST(generate_series(CAST(cutoff AS TIMESTAMP), CAST(cutoff + 15 * 7 - 1 AS TIMESTAMP), INTERVAL 1 DAY)) AS g(day))""",
+         """stats AS (SELECT model_version, aggregated_col, aggregated_value, metric_col, AVG(metric_value) AS mu, STDDEV_SAMP(metric_value) AS sd
+              FROM metrics JOIN weeks USING (model_version, week) GROUP BY ALL)""",
+         """x AS (SELECT m.*, mu, GREATEST(COALESCE(sd, 0), 1e-9) AS sd, CASE WHEN metric_col = 'f1_binary' THEN -1.0 ELSE 1.0 END AS sg
+              FROM metrics m LEFT JOIN stats USING (model_version, aggregated_col, aggregated_value, metric_col) WHERE week > 200024)"""],
+        """SELECT week, model_version, aggregated_value, metric_col, metric_value, CASE WHEN mu IS NULL THEN -1 WHEN sg * (metric_value - mu) >= 3 * sd THEN 2
+             WHEN sg * (metric_value - mu) >= 2 * sd THEN 1 ELSE 0 END AS alert_level FROM x""",
+    ),
+    "metric_value",
+)
+def sigma_alert_models(spark, sf):
+    """Control-chart alerts of several models, each with the 15 weeks from its own cut-off date as baseline."""
+    rows = stored_groups(spark, sf).withColumn("model_version", F.concat(F.lit("sales_"), F.col("cust_category")))
+    metrics = cut(pf.metric_rollup(rows, [SEG], "y", "prediction"))
+    # a model's cut-off lies as many weeks after the turn of the year as it has brands
+    start = F.lit("1999-12-27").cast("date")
+    cuts = rows.groupBy("model_version").agg(F.date_add(start, 7 * F.countDistinct("brand").cast("int")).alias("cutoff"))
+    out = al.sigma_alert(metrics.where("week > 200024"), metrics, weeks_after(cuts, "cutoff", 15))
+    return out.select("week", "model_version", "aggregated_value", "metric_col", "metric_value", "alert_level")
+
+
+@query(
+    "thresholded_report",
+    with_(
+        [*BASE, BASELINE, PROD, CATEGORIES,
+         "pq AS (SELECT stats_group, feature, GREATEST(r / SUM(r) OVER w, 1e-10) AS p, GREATEST(a / SUM(a) OVER w, 1e-10) AS q FROM cat WINDOW w AS (PARTITION BY stats_group, feature))",
+         f"j AS (SELECT stats_group, feature, {JSD} AS js_distance FROM pq GROUP BY ALL)"],
+        "SELECT stats_group, feature, js_distance, CASE feature WHEN 'brand' THEN CAST(0.05 AS DOUBLE) END AS threshold, COALESCE(feature = 'brand' AND js_distance > 0.05, FALSE) AS alert FROM j",
+    ),
+    "js_distance",
+)
+def thresholded_report(spark, sf):
+    """Categorical drift with a threshold per column from a table; a column without threshold never alerts."""
+    rows = stored_groups(spark, sf)
+    report = dr.univariate_drift(baseline(rows), production(rows), SEG, categorical=["brand", "cust_category"])
+    limits = spark.createDataFrame([("brand", 0.05)], "feature string, threshold double")
+    return dr.with_thresholds(report.select(SEG, "feature", "js_distance"), limits, "feature", "js_distance")
+
+
 @query(
     "mape_variants",
     with_(

@@ -252,6 +252,30 @@ def representatives(spark, sf):
     return tr.representatives(grouped(spark, sf), SEG, ["customer_id", "brand", "sum_p4w"])
 
 
+@query("scoring_batches", with_([TX, PANEL], f"SELECT {BUCKET.replace('% 100', '% 8')} AS batch, COUNT(*) AS row_count, SUM(y) AS y FROM panel GROUP BY 1"), "y")
+def scoring_batches(spark, sf):
+    """The panel in eight batches by key hash, counted."""
+    out = sc.scoring_batches(weekly_sales(spark, sf), ROW_IDS, 8)
+    return out.groupBy("batch").agg(F.count(F.lit(1)).alias("row_count"), F.sum("y").alias("y"))
+
+
+@query(
+    "assigned_groups",
+    with_(BASE, "SELECT p.customer_id, p.brand, p.week, g.last_group FROM panel p LEFT JOIN (SELECT customer_id, brand, arg_max(stats_group, week) AS last_group FROM grouped WHERE brand <> 'PROMO' GROUP BY 1, 2) g USING (customer_id, brand)"),
+)
+def assigned_groups(spark, sf):
+    """Every series row with the group its series was last in; series of one brand are unmapped."""
+    rows = grouped(spark, sf).where("brand <> 'PROMO'")
+    mapping = rows.groupBy("customer_id", "brand").agg(F.max_by(SEG, "week").alias("last_group"))
+    return sc.assign_groups(weekly_sales(spark, sf).select(*ROW_IDS), mapping, ["customer_id", "brand"], "last_group")
+
+
+@query("absent_groups", with_(BASE, "SELECT DISTINCT week, brand FROM panel EXCEPT SELECT week, brand FROM grouped"))
+def absent_groups(spark, sf):
+    """Expected (week, brand) groups for which no row is ready to be scored, all found by one anti join."""
+    return la.missing_slices(weekly_sales(spark, sf), grouped(spark, sf), ["week", "brand"])
+
+
 @query("canary_split", with_([TX, PANEL], f"SELECT customer_id, brand, week, CASE WHEN {BUCKET} < 30 THEN 'candidate' ELSE 'production' END AS route FROM panel"))
 def canary_split(spark, sf):
     return sc.canary_split(weekly_sales(spark, sf), ROW_IDS, 30).select(*ROW_IDS, "route")

@@ -48,14 +48,18 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per sold line: customer, product, order, date, units, revenue."""
+    """One row per sold line: customer, product, order, date, ISO week, units, revenue."""
     lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # calendar attributes are worked out per order, not per line
+    orders = read_table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("tx_date"), iso_week("o_orderdate").alias("week")
+    )
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderkey").alias("transaction_id"),
-        F.col("o_orderdate").cast("date").alias("tx_date"),
+        "tx_date",
+        "week",
         F.col("l_quantity").alias("units"),
         F.col("l_extendedprice").alias("revenue"),
     )
@@ -80,12 +84,12 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def weekly_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly panel: outlet (nation) x brand presentation (part type) x ISO week, units sold as target ``y``."""
-    sold = transactions(spark, folder).select("customer_id", "product_id", "tx_date", "units")
+    sold = transactions(spark, folder).select("customer_id", "product_id", "week", "units")
     outlets = customers(spark, folder).select("customer_id", "nation_id")
     kinds = products(spark, folder).select("product_id", "category")
     return (
         sold.join(outlets, "customer_id")
         .join(kinds, "product_id")
-        .groupBy(F.col("nation_id").alias("customer_id"), F.col("category").alias("brand"), iso_week("tx_date").alias("week"))
+        .groupBy(F.col("nation_id").alias("customer_id"), F.col("category").alias("brand"), "week")
         .agg(F.sum("units").alias("y"))
     )
