@@ -12,12 +12,15 @@ from forecastops.functions.metrics import DIRECTION, EPS
 CELL = ("aggregated_col", "aggregated_value", "metric_col")
 
 # Relative limits (warning, critical) for error metrics and for F1, control limits in standard
-# deviations, the smallest standard deviation, and the rollback limits.
+# deviations, the smallest standard deviation, error bands, reasons and limits of the rollback decision.
 ERROR_LIMITS = (0.20, 0.50)
 F1_LIMITS = (-0.15, -0.30)
 SIGMAS = (2.0, 3.0)
 MIN_STD = 1e-9
 NO_BASELINE = -1
+STATUS = ("HIGH ERROR", "MODERATE ERROR", "LOW ERROR")
+ALL_WELL, TOO_FEW = "All metrics within thresholds", "Insufficient samples ("
+PSI_TEXT, KL_TEXT, RMSE_TEXT = "data_drift_psi=%.2f > ", "prediction_drift_kl=%.3f > ", "rmse_increase="
 ROLLBACK = {"psi": 0.2, "kl": 0.1, "rmse_increase": 0.25, "min_samples": 1000}
 
 
@@ -91,7 +94,7 @@ def sigma_alert(
 def performance_status(rmse: str = "rmse", limits: tuple[float, float] = (0.5, 1.0)) -> Column:
     """Error band of a segment by its RMSE."""
     return (
-        F.when(F.col(rmse) > limits[1], "HIGH ERROR").when(F.col(rmse) > limits[0], "MODERATE ERROR").otherwise("LOW ERROR")
+        F.when(F.col(rmse) > limits[1], STATUS[0]).when(F.col(rmse) > limits[0], STATUS[1]).otherwise(STATUS[2])
     )
 
 
@@ -104,22 +107,22 @@ def rollback_decision(metrics: DataFrame, config: Mapping[str, float] | None = N
     percent = lambda v: F.concat(F.round(v * 100).cast("int").cast("string"), F.lit("%"))
     triggers = F.array_compact(
         F.array(
-            F.when(F.col("psi") > c["psi"], F.format_string(f"data_drift_psi=%.2f > {c['psi']}", "psi")),
-            F.when(F.col("kl") > c["kl"], F.format_string(f"prediction_drift_kl=%.3f > {c['kl']}", "kl")),
+            F.when(F.col("psi") > c["psi"], F.format_string(f"{PSI_TEXT}{c['psi']}", "psi")),
+            F.when(F.col("kl") > c["kl"], F.format_string(f"{KL_TEXT}{c['kl']}", "kl")),
             F.when(
                 F.col("rmse_increase") > c["rmse_increase"],
-                F.concat(F.lit("rmse_increase="), percent(F.col("rmse_increase")), F.lit(" > "), percent(F.lit(c["rmse_increase"]))),
+                F.concat(F.lit(RMSE_TEXT), percent(F.col("rmse_increase")), F.lit(" > "), percent(F.lit(c["rmse_increase"]))),
             ),
         )
     )
     few = F.coalesce("sample_count", F.lit(0)) < c["min_samples"]
     any_trigger = F.size(triggers) > 0
-    few_text = F.concat(F.lit("Insufficient samples ("), F.coalesce("sample_count", F.lit(0)).cast("string"), F.lit(")"))
+    few_text = F.concat(F.lit(TOO_FEW), F.coalesce("sample_count", F.lit(0)).cast("string"), F.lit(")"))
     return metrics.withColumns(
         {
             "action": F.when(few, "skip").when(any_trigger, "rollback").otherwise("none"),
             "reason": F.when(few, few_text)
             .when(any_trigger, F.concat_ws("; ", triggers))
-            .otherwise("All metrics within thresholds"),
+            .otherwise(ALL_WELL),
         }
     )

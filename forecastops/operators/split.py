@@ -48,7 +48,10 @@ def holdout_thresholds(df: DataFrame, seg: str, week: str, frac: float = 0.1) ->
 def clean_and_holdout(
     df: DataFrame, seg: str, week: str, ids: Sequence[str], y: str, frac: float = 0.1, p: float = 0.99, *, exact: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, holdout) of the cleaned rows: up to each segment's cut-off week, and after it."""
+    """(train, holdout) of the cleaned rows: up to each segment's cut-off week, and after it.
+
+    The rows are read once for the quantile, once for the weekly counts and once per result: pass a stored frame.
+    """
     cleaned = clean(df, [*ids, week], y, p, exact=exact)
     cuts = lookup(holdout_thresholds(cleaned, seg, week, frac))
     joined = cleaned.join(cuts, seg)
@@ -64,7 +67,8 @@ def temporal_split(
     """Add ``is_test``: per segment the oldest floor(n * (1 - test)) rows are training rows.
 
     Only one week per segment can straddle the cut; every other row is decided by its week alone, and just the rows of
-    the straddling weeks are ordered (by ``ids``). ``by="week"`` keeps the straddling week whole, in training.
+    the straddling weeks are ordered (by ``ids``). ``by="week"`` keeps the straddling week whole, in training. The rows are
+    read three times: pass a stored frame.
     """
     counts = df.groupBy(seg, week).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(seg)

@@ -20,7 +20,7 @@ from forecastops.operators import histograms as hi
 from forecastops.operators import performance as pf
 from forecastops.operators import scoring as sc
 from forecastops.operators.joins import for_each_of
-from forecastops.session import cut
+from forecastops.session import cut, lookup
 from forecastops.sources import landing as la
 from forecastops.sources.tables import read_or_empty
 
@@ -92,7 +92,7 @@ def score(
     landed = read(spark, root, "predictions").where(F.col("model_name") == model).select(
         F.col("entity_map")["week"].cast("int").alias("week"), "model_version"
     )
-    todo = cut(la.missing_slices(wanted, landed, ["week", "model_version"]))
+    todo = lookup(la.missing_slices(wanted, landed, ["week", "model_version"]))
     if todo.isEmpty():
         return
     key = F.concat_ws("/", "model_version", seg)
@@ -192,7 +192,7 @@ def data_drift(spark: SparkSession, root: str, features: DataFrame, model: str,
     def missing(seg: str, metric: str) -> DataFrame:
         # read anew each time: landing a metric replaces partition files
         landed = read(spark, root, "drift").where(F.col("model_name") == model)
-        return cut(la.new_combos(predictions, landed, seg, metric, min_week))
+        return lookup(la.new_combos(predictions, landed, seg, metric, min_week))
 
     for seg in segs:
         todo = missing(seg, PSI)
@@ -218,7 +218,7 @@ def prediction_drift(spark: SparkSession, root: str, model: str, segs: Sequence[
     predictions = read(spark, root, "predictions").where(F.col("model_name") == model)
     for seg in segs:
         landed = read(spark, root, "prediction_drift").where(F.col("model_name") == model)
-        todo = cut(la.new_combos(predictions, landed, seg, JS, min_week))
+        todo = lookup(la.new_combos(predictions, landed, seg, JS, min_week))
         if todo.isEmpty():
             continue
         stored = cut(_stored(read(spark, root, "prediction_histograms_baseline"), model, JS, seg))
@@ -257,7 +257,7 @@ def performance(
     predictions = read(spark, root, "predictions").where(F.col("model_name") == model)
     landed = read(spark, root, "performance").where(F.col("model_name") == model)
     with_actuals = actuals.select("week").distinct()
-    todo = cut(la.new_combos(predictions, landed, segs[0], "wape", min_week).join(with_actuals, "week", "left_semi"))
+    todo = lookup(la.new_combos(predictions, landed, segs[0], "wape", min_week).join(with_actuals, "week", "left_semi"))
     if todo.isEmpty():
         return
     rows = view.join(todo, ["week", "model_version"], "left_semi")
