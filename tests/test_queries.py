@@ -5,9 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from forecastops.plans.catalog import ORACLES as CORE_ORACLES
+from forecastops.plans.catalog import QUERIES as CORE_QUERIES
+
 from compare import connect, difference, duck_rows, spark_rows
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = CORE_QUERIES, CORE_ORACLES
 
 
 @pytest.fixture(scope="module")
