@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastops.llm import curriculum, token_counts
+from forecastops.llm import archives, curriculum, decontamination, language_mixture, ngram_jaccard, page_text, quality_ratio, secret_scan, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,75 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM g),
+l AS (SELECT a.doc_id AS p, b.doc_id AS q FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT p, q FROM l UNION SELECT q, p FROM l),
+r AS (SELECT p, q FROM both_ways UNION SELECT r.p, s.q FROM r JOIN both_ways s ON r.q = s.p),
+c AS (SELECT p, min(q) AS least FROM r GROUP BY p)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, coalesce(c.least, doc_id)) AS component_id FROM g LEFT JOIN c ON c.p = g.doc_id
+"""
+
+ARCHIVE_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, n, h, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * strpos('0123456789abcdef', h[i]) - 3, 4)), '') AS bits FROM p),
+d AS (SELECT page_id, n, h, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(1, 6), lambda k: CAST(bits[5 * i + k] AS INTEGER) * CAST(2 ** (5 - k) AS INTEGER)))::INTEGER, 1)), '') AS digest FROM b),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM f
+"""
+
+PASSAGE_SQL = r"""
+WITH b AS (SELECT item_id::VARCHAR AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (SELECT DISTINCT item, array_to_string(p, ' ') AS phrase, len(p) AS n FROM
+        (SELECT item, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i:i + 9])) AS p FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, (SELECT DISTINCT n FROM win)),
+m AS (SELECT g.doc_id, g.i, win.n, win.item FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM g) g JOIN win ON win.phrase = g.phrase AND win.n = g.n),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM m) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+#: One branch per kind: number in order, kind, pattern, group of the value and its least length.
+_SPAN_SQL = """SELECT doc_id, source, {order} AS o, '{kind}' AS kind, unnest(list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
+    's': CAST(list_sum(list_transform(g[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS BIGINT), 'n': len(m[i]), 'v': v[i]}}), lambda x: len(x.v) >= {least})) AS x
+  FROM (SELECT doc_id, source, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {group}) AS v, string_split_regex(t, '{pattern}') AS g FROM d)"""
+_SPANS = " UNION ALL ".join(_SPAN_SQL.format(order=i, kind=k, pattern=p.replace("'", "''"), group=g, least=n) for i, (k, p, g, n) in enumerate([*secret_scan.RULES, secret_scan.WIDE]))
+SECRET_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+a AS (SELECT doc_id, source, o, kind, x.s AS s, x.s + x.n AS e, x.v AS v FROM ({_SPANS})),
+k AS (SELECT * FROM a WHERE o < 3 UNION ALL SELECT * FROM a WHERE o = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+      AND NOT EXISTS (SELECT 1 FROM a b WHERE b.doc_id = a.doc_id AND b.o < 3 AND b.s < a.e AND a.s < b.e)),
+f AS (SELECT k.*, c.owners <= {secret_scan.OWNERS} AS live, concat_ws(':', kind, s, e) AS span FROM k JOIN (SELECT v, count(DISTINCT coalesce(source, '<null>')) AS owners FROM k GROUP BY v) c ON c.v = k.v),
+r AS (SELECT doc_id, count_if(o = 0) AS n_assign, count_if(o = 1) AS n_access, count_if(o = 2) AS n_hex,
+      string_agg(span, ',' ORDER BY s, o) FILTER (o < 3) AS base, string_agg(span, ',' ORDER BY s, o) FILTER (o < 3 OR live) AS spans,
+      count_if(live) AS n_live, count_if(NOT live) AS n_copied, string_agg(span, ',' ORDER BY s, o) FILTER (live) AS live_spans FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied, coalesce(live_spans, '') AS live_spans FROM d LEFT JOIN r USING (doc_id)
+"""
+
+
+@query("op1_ngram_jaccard", JACCARD_SQL)
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard.join_groups(table(spark, folder, "documents"))
+
+
+@query("op2_archive_pages", ARCHIVE_SQL)
+def op2_archive_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return archives.archive_pages(table(spark, folder, "pages"))
+
+
+@query("op3_page_text")
+def op3_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.main_text(table(spark, folder, "pages"))
+
+
 MIX_SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM d GROUP BY source),
@@ -51,8 +120,36 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return plan.repartitionByRange(F.col("_at").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("_at").asc_nulls_last(), "doc_id").drop("_at")
 
 
+@query("op6_language")
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the documents outside the held-out quarter, of which only text and language are used."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    languages, model = language_mixture.learn(language_mixture.learning_rows(docs.filter(~held_out), "doc_id", "text", "lang"))
+    found = language_mixture.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), languages, model)
+    mix = F.concat_ws(",", F.transform("lang_mix", lambda x: F.concat_ws(":", x["lang"], F.format_number(x["share"], 3))))
+    return found.select("doc_id", "held_out", "lang_pred", "score", mix.alias("lang_mix"))
+
+
+@query("op7_secrets", SECRET_SQL)
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, folder, "documents"))
+
+
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents labelled as good and not toxic are the trusted ones."""
+    labels = table(spark, folder, "labels")
+    return quality_ratio.quality(table(spark, folder, "documents"), labels.filter("quality = 1 and toxic = 0").select("doc_id"))
+
+
+@query("op10_decontamination", PASSAGE_SQL)
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
