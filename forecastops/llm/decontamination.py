@@ -97,6 +97,12 @@ def proximity_matches(index: DataFrame, anchored: DataFrame, slack: int = 5) ->
     return near.select("doc", "start", "phrase").distinct()
 
 
+def find_phrases(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """(doc, start, n, phrase): every occurrence in ``docs`` of the phrases of ``wins``; ``doc`` is (id, text hash)."""
+    anchored = store(anchors(docs, wins.select("phrase", "n").distinct(), text_col))
+    return store(phrase_matches(build_index(docs, anchored, id_col, text_col, width), anchored))
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -107,9 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     never shuffled; the sides that are broadcast grow with the benchmark alone and are checked before.
     """
     wins = store(windows(items, item_id_col, item_text_col, width))
-    anchored = store(anchors(docs, wins.select("phrase", "n").distinct(), text_col))
-    index = build_index(docs, anchored, id_col, text_col, width)
-    matches = store(phrase_matches(index, anchored))
+    matches = find_phrases(docs, wins, id_col, text_col, width)
     order = Window.partitionBy("doc").orderBy("start", "end")
     ends = matches.select("doc", "start", (F.col("start") + F.col("n")).alias("end")).distinct()
     covered = F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

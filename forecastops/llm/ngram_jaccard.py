@@ -232,13 +232,17 @@ def _between_components(lists: DataFrame, percent: int) -> DataFrame:
     """
     sizes = lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
     major = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("major"), F.count("*").alias("comps"))
-    mixed = lists.join(major.filter("comps > 1"), "gram")
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp")]
+    mixed = store(lists.join(major.filter("comps > 1"), "gram"))
+    # a document meets others in no more lists than it has among these, so most pairs are ruled out before they are made
+    mixed = mixed.join(mixed.groupBy("id").agg(F.count("*").alias("among")), "id")
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp", "among")]
     minor = mixed.filter("comp != major").select("gram", *side("x"))
     every = mixed.select("gram", (F.col("comp") == F.col("major")).alias("is_major"), *side("y"))
     once = F.col("is_major") | (F.col("id_x") < F.col("id_y"))
-    met = minor.join(every, "gram").filter((F.col("comp_x") != F.col("comp_y")) & once & _fits(F.col("n_x"), F.col("n_y"), percent))
+    overlap = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
+    least = F.greatest(F.lit(1), overlap - F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y")))
+    fits = _fits(F.col("n_x"), F.col("n_y"), percent) & (F.least("among_x", "among_y") >= least)
+    met = minor.join(every, "gram").filter((F.col("comp_x") != F.col("comp_y")) & once & fits)
     a, b = F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
-    counts = met.groupBy(a, b).agg(F.count("*").alias("lists"), F.first(F.col("n_x") + F.col("n_y")).alias("both"), F.first(F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y"))).alias("long"))
-    overlap = F.ceil(F.lit(percent) * F.col("both") / F.lit(100 + percent))
-    return counts.filter(F.col("lists") >= F.greatest(F.lit(1), overlap - F.col("long"))).select("a", "b")
+    counts = met.select(a, b, least.alias("least")).groupBy("a", "b").agg(F.count("*").alias("lists"), F.first("least").alias("least"))
+    return counts.filter("lists >= least").select("a", "b")

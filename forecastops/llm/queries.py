@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastops.llm import archives, curriculum, decontamination, language_mixture, ngram_jaccard, page_text, quality_ratio, secret_scan, token_counts
+from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, quality_ratio, secret_scan, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,6 +120,13 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return plan.repartitionByRange(F.col("_at").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("_at").asc_nulls_last(), "doc_id").drop("_at")
 
 
+@query("op5_licences")
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices of all documents, by a classifier trained on the templates and on paragraphs of the documents."""
+    docs = table(spark, folder, "documents")
+    return licences.licences(docs, licences.train(docs))
+
+
 @query("op6_language")
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """Learns from the documents outside the held-out quarter, of which only text and language are used."""
