@@ -27,6 +27,7 @@ _MODEL = [
     ("model_name", T.StringType()),
     ("model_version", T.StringType()),
     ("entity_map", ENTITY_MAP),
+    ("week", T.IntegerType()),
 ]
 _CELL = [("aggregated_col", T.StringType()), ("aggregated_value", T.StringType()), ("metric_col", T.StringType())]
 _STAMP = [("calmonth", T.StringType()), ("ldts", T.TimestampType())]

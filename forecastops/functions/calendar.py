@@ -43,6 +43,11 @@ def day_of_week(date: str | Column) -> Column:
     return F.dayofweek(_col(date)) - 1
 
 
+def local_time(ts: str | Column, zone: str) -> Column:
+    """Wall-clock time of a UTC instant in a zone (a region name or an offset), as a timestamp without zone."""
+    return F.from_utc_timestamp(_col(ts), zone).cast("timestamp_ntz")
+
+
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day with its ISO week, the following ISO week and the calendar month."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("date_d"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecastops.session import cut
-from forecastops.sources.landing import upsert
+from forecastops.sources.landing import upsert, upsert_path, without_keys
 from forecastops.sources.tables import read_or_empty
 
 PENDING, PROCESSED = "PENDING", "PROCESSED"
@@ -20,8 +20,12 @@ RUN_LOG = T.StructType(
         T.StructField("source_rows", T.LongType()),
         T.StructField("feature_rows", T.LongType()),
         T.StructField("finished_at", T.TimestampType()),
+        T.StructField("folder", T.StringType()),
     ]
 )
+ROW_LOG = T.StructType(
+    [T.StructField("row_digest", T.StringType()), T.StructField("batch_id", T.StringType()), T.StructField("run", T.IntegerType())]
+)
 
 
 def mark_pending(rows: DataFrame, batch_id: str | Column, log: DataFrame | None = None) -> DataFrame:
@@ -83,30 +87,37 @@ def run_batch(
 ) -> DataFrame:
     """Compute the features of a batch's pending rows, write history and latest table, log the run.
 
-    History is partitioned by batch and replaced per batch, and the log row comes last, so a run that broke off can be
-    repeated. ``latest_mode="recreate"`` keeps only the current batch in the latest table. The latest table is written
-    as a new folder per batch; readers take the folder of the last processed batch (:func:`read_latest`).
+    A row is pending until a logged run of the batch has seen it, so rows that arrive after their batch was processed are
+    taken up by the next call; the features of their entities are computed from all rows offered for these. History is
+    partitioned by batch and upserted by entity, and the log row comes last, so a run that broke off can be repeated.
+    ``latest_mode="recreate"`` keeps only the rows just computed in the latest table. The latest table is written as a new
+    folder per run; readers take the folder of the last logged run (:func:`read_latest`).
     """
     log = read_or_empty(spark, f"{root}/runs", RUN_LOG)
-    pending = mark_pending(source, batch_id, log).where(F.col("status") == PENDING).drop("batch_id", "status")
+    rows = source.withColumn("row_digest", F.sha2(F.to_json(F.struct(*source.columns), {"ignoreNullFields": "false"}), 256))
+    done = log.where((F.col("status") == PROCESSED) & (F.col("batch_id") == batch_id))
+    runs = done.count()
+    # digests count once their run is logged
+    seen = read_or_empty(spark, f"{root}/rows", ROW_LOG).where((F.col("batch_id") == batch_id) & (F.col("run") < runs))
+    pending = cut(without_keys(rows, seen.select("row_digest").distinct(), ["row_digest"]))
     if pending.isEmpty():
         return log
-    features = cut(compute(pending).withColumn("batch_id", F.lit(batch_id)))
-    (
-        features.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(f"{root}/history")
-    )
+    known = all(e in source.columns for e in entity)
+    offered = rows.join(pending.select(*entity).distinct(), list(entity), "left_semi") if runs and known else rows if runs else pending
+    features = cut(compute(offered.drop("row_digest")).withColumn("batch_id", F.lit(batch_id)))
+    upsert_path(spark, f"{root}/history", features, [*entity, "batch_id"], ["batch_id"])
+    run_rows = pending.select("row_digest", F.lit(batch_id).alias("batch_id"), F.lit(runs).alias("run"))
+    run_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "run").parquet(f"{root}/rows")
     before = read_latest(spark, root, features.schema) if latest_mode == "merge" else None
     now = features if before is None else merge_latest(before, features, entity)
-    now.write.mode("overwrite").parquet(f"{root}/latest/{batch_id}")
+    now.write.mode("overwrite").parquet(f"{root}/latest/{batch_id}-{runs}")
     row = pending.agg(
         F.lit(batch_id).alias("batch_id"),
         F.lit(PROCESSED).alias("status"),
         F.count(F.lit(1)).alias("source_rows"),
         F.lit(features.count()).cast("bigint").alias("feature_rows"),
         F.current_timestamp().alias("finished_at"),
+        F.lit(f"{batch_id}-{runs}").alias("folder"),
     )
     row.coalesce(1).write.mode("append").parquet(f"{root}/runs")
     return read_or_empty(spark, f"{root}/runs", RUN_LOG)
@@ -115,7 +126,7 @@ def run_batch(
 def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Latest feature row per entity after the last processed batch; None (or no rows) before the first."""
     log = read_or_empty(spark, f"{root}/runs", RUN_LOG)
-    last = log.where(F.col("status") == PROCESSED).orderBy(F.desc("finished_at")).select("batch_id").first()
+    last = log.where(F.col("status") == PROCESSED).orderBy(F.desc("finished_at"), F.desc("folder")).select("folder").first()
     if last is None:
         return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{root}/latest/{last['batch_id']}")
+    return spark.read.parquet(f"{root}/latest/{last['folder']}")

@@ -49,7 +49,7 @@ def weekly_rollup(tx: DataFrame, inference_from: Column | str) -> DataFrame:
         F.sum("revenue").alias("weekly_sales_revenue"),
         F.countDistinct("transaction_id").alias("transaction_count"),
         F.countDistinct("product_id").alias("unique_products_purchased"),
-        F.avg("units").alias("avg_units_per_transaction"),
+        F.avg("units").alias("mean_units"),
     )
 
 
@@ -171,37 +171,35 @@ def _daily(tx: DataFrame) -> DataFrame:
     )
 
 
-def _behaviour(at: Column, days: int) -> list[Column]:
-    """Aggregates of daily sums over a look-back window that ends at ``at``.
+def _behaviour(window: DataFrame) -> DataFrame:
+    """Aggregates of daily sums (customer_id, feature_ts, tx_date) over look-back windows of any length.
 
-    The window is short, so distinct days and weeks are bits of a number: no distinct aggregation, and one shuffle with
-    map-side combine.
+    Days are one row each, so counting them is plain; weeks are counted where a week's first day in the window is met.
     """
-    if days > 55:
-        raise ValueError("a look-back window holds at most 55 days")
-    age = F.datediff(at, F.col("tx_date"))
-    weeks_back = (F.datediff(week_start(at), week_start("tx_date")) / 7).cast("int")
-    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n)
-    return [
-        F.try_divide(F.sum("_revenue"), F.sum("_n_revenue")).alias("avg_weekly_purchase_amount"),
-        F.bit_count(F.bit_or(bit(weeks_back))).cast("bigint").alias("purchase_frequency_last_4_weeks"),
-        F.min(age).alias("days_since_last_purchase"),
-        F.sum("_units").alias("total_units_4_weeks"),
-        F.bit_count(F.bit_or(bit(age))).cast("bigint").alias("purchase_days_last_4_weeks"),
-        F.try_divide(F.sum("_units"), F.sum("_n_units")).alias("avg_units_per_transaction"),
-    ]
+    weekly = window.groupBy("customer_id", "feature_ts", week_start("tx_date").alias("_week")).agg(
+        *[F.sum(c).alias(c) for c in ("_revenue", "_n_revenue", "_units", "_n_units")],
+        F.count(F.lit(1)).alias("_days"),
+        F.max("tx_date").alias("_last"),
+    )
+    return weekly.groupBy("customer_id", "feature_ts").agg(
+        F.try_divide(F.sum("_revenue"), F.sum("_n_revenue")).alias("mean_revenue"),
+        F.count(F.lit(1)).alias("active_weeks"),
+        F.datediff("feature_ts", F.max("_last")).alias("idle_days"),
+        F.sum("_units").alias("units_in_window"),
+        F.sum("_days").alias("active_days"),
+        F.try_divide(F.sum("_units"), F.sum("_n_units")).alias("mean_units"),
+    )
 
 
 def _ranked_behaviour(seen: DataFrame, group: Sequence[str]) -> DataFrame:
-    ranked = add_ntile(seen, group, ["total_units_4_weeks", "customer_id"], 4, "customer_volume_quartile")
-    return ranked.withColumn("activity_level", activity_level("purchase_frequency_last_4_weeks"))
+    ranked = add_ntile(seen, group, ["units_in_window", "customer_id"], 4, "volume_quarter")
+    return ranked.withColumn("activity_level", activity_level("active_weeks"))
 
 
 def customer_view(tx: DataFrame, as_of: Column, days: int = 28) -> DataFrame:
     """Customer behaviour over the ``days`` up to ``as_of``: amounts, frequency, recency, volume quartile, activity."""
     window = tx.where((F.col("tx_date") >= F.date_sub(as_of, days)) & (F.col("tx_date") <= as_of))
-    seen = _daily(window).withColumn("feature_ts", as_of).groupBy("customer_id", "feature_ts")
-    return _ranked_behaviour(seen.agg(*_behaviour(F.col("feature_ts"), days)), [])
+    return _ranked_behaviour(_behaviour(_daily(window).withColumn("feature_ts", as_of)), [])
 
 
 def customer_view_pit(tx: DataFrame, days: int = 28) -> DataFrame:
@@ -214,13 +212,8 @@ def customer_view_pit(tx: DataFrame, days: int = 28) -> DataFrame:
     first = F.date_add(week_start("tx_date"), 7)
     covered = F.sequence(first, F.date_add("tx_date", days), F.expr("INTERVAL 7 DAYS"))
     spine = daily.select(week_start("tx_date").alias("feature_ts")).distinct()
-    seen = (
-        daily.withColumn("feature_ts", F.explode(F.when(first <= F.date_add("tx_date", days), covered)))
-        .groupBy("customer_id", "feature_ts")
-        .agg(*_behaviour(F.col("feature_ts"), days))
-        .join(spine, "feature_ts", "left_semi")
-    )
-    return _ranked_behaviour(seen, ["feature_ts"])
+    handed = daily.withColumn("feature_ts", F.explode(F.when(first <= F.date_add("tx_date", days), covered)))
+    return _ranked_behaviour(_behaviour(handed.join(spine, "feature_ts", "left_semi")), ["feature_ts"])
 
 
 def product_view(tx: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
@@ -233,12 +226,10 @@ def product_view(tx: DataFrame, products: DataFrame, as_of: Column) -> DataFrame
     )
     age = F.datediff("feature_ts", "tx_date")
     recent = F.when(age <= 28, F.col("units"))
-    day_bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.when(age <= 28, age)))
-    per_product = t.groupBy("product_id").agg(
-        F.sum(recent).alias("u4"),
-        F.bit_count(day_bits).alias("days4"),
-        F.sum(F.when(age >= 28, F.col("units"))).alias("u58"),
+    daily = t.groupBy("product_id", "feature_ts", "tx_date").agg(
+        F.sum(recent).alias("u4"), F.max(age <= 28).alias("recent"), F.sum(F.when(age >= 28, F.col("units"))).alias("u58")
     )
+    per_product = daily.groupBy("product_id").agg(F.sum("u4").alias("u4"), F.count_if("recent").alias("days4"), F.sum("u58").alias("u58"))
     # one row per product, written once: the categories and their total are read from it
     base = cut(products.join(per_product, "product_id", "left"))
     per_category = base.groupBy("category").agg(F.sum("u4").alias("category_units"), F.count(F.lit(1)).alias("members"))

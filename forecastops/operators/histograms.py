@@ -14,9 +14,16 @@ from forecastops.session import cut, small_side
 BINS = 20
 #: distinct values from which a column gets quantile bins
 HIGH_CARDINALITY = 20
+#: A column whose rough distinct count exceeds this many times the limit is not counted exactly; the rough count is off by
+#: a few per cent, so the factor leaves a wide margin.
+ROUGH_MARGIN = 10
 _INF = float("inf")
 
 
+def _names(seg: str | Sequence[str]) -> list[str]:
+    return [seg] if isinstance(seg, str) else list(seg)
+
+
 def unpivot_features(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Long form (ids, feature, value) without nulls."""
     typed = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -34,7 +41,7 @@ def monitored_columns(df: DataFrame, exclude: Sequence[str] = ()) -> dict[str, l
     if not numeric:
         return {"low": [], "high": []}
     rough = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in numeric]).first()
-    near = [c for c in numeric if rough[c] <= 10 * HIGH_CARDINALITY]
+    near = [c for c in numeric if rough[c] <= ROUGH_MARGIN * HIGH_CARDINALITY]
     counts = df.agg(*[F.countDistinct(c).alias(c) for c in near]).first().asDict() if near else {}
     low = [c for c in near if 2 < counts[c] < HIGH_CARDINALITY]
     return {"low": low, "high": [c for c in numeric if c not in near or counts[c] >= HIGH_CARDINALITY]}
@@ -94,12 +101,13 @@ def bin_edges(
     return cut(out)
 
 
-def edges_to_bins(edges: DataFrame, seg: str) -> DataFrame:
+def edges_to_bins(edges: DataFrame, seg: str | Sequence[str]) -> DataFrame:
     """Rows (seg, feature, bin, bin_low, bin_high): half-open bins numbered from 1, open at both ends."""
+    seg = _names(seg)
     low = F.concat(F.array(F.lit(-_INF)), F.col("edges"))
     high = F.concat(F.col("edges"), F.array(F.lit(_INF)))
-    return edges.select(seg, "feature", F.posexplode(F.arrays_zip(low.alias("low"), high.alias("high"))).alias("pos", "b")).select(
-        seg,
+    return edges.select(*seg, "feature", F.posexplode(F.arrays_zip(low.alias("low"), high.alias("high"))).alias("pos", "b")).select(
+        *seg,
         "feature",
         (F.col("pos") + 1).cast("int").alias("bin"),
         F.col("b.low").alias("bin_low"),
@@ -107,10 +115,11 @@ def edges_to_bins(edges: DataFrame, seg: str) -> DataFrame:
     )
 
 
-def bins_to_edges(bins: DataFrame, seg: str) -> DataFrame:
+def bins_to_edges(bins: DataFrame, seg: str | Sequence[str]) -> DataFrame:
     """Edge arrays back from stored bin rows (of a baseline)."""
-    inner = bins.select(seg, "feature", "bin", "bin_low").distinct().where(F.col("bin_low") > -_INF)
-    return inner.groupBy(seg, "feature").agg(F.sort_array(F.collect_list("bin_low")).alias("edges"))
+    seg = _names(seg)
+    inner = bins.select(*seg, "feature", "bin", "bin_low").distinct().where(F.col("bin_low") > -_INF)
+    return inner.groupBy(*seg, "feature").agg(F.sort_array(F.collect_list("bin_low")).alias("edges"))
 
 
 def bin_of(value: Column, edges: Column) -> Column:
@@ -125,29 +134,44 @@ def bin_of(value: Column, edges: Column) -> Column:
 
 
 def histogram(
-    df: DataFrame, time: Sequence[str], seg: str, columns: Sequence[str], edges: DataFrame
+    df: DataFrame, time: Sequence[str], seg: str | Sequence[str], columns: Sequence[str], edges: DataFrame
 ) -> DataFrame:
     """Rows per (time, segment, feature, bin), every time present with every bin, empty bins 0.
 
-    Each input row meets one row of edges (its segment's) and is folded into bin counts on the map side; neither raw nor
-    exploded rows are shuffled. ``edges`` is read three times: a stored or otherwise cheap frame.
+    ``seg`` is one column or several. Each input row meets one row of edges (its segment's) and is folded into bin counts
+    on the map side; neither raw nor exploded rows are shuffled, unless the edges are too large to be broadcast. ``edges``
+    is read three times: a stored or otherwise cheap frame.
     """
+    seg = _names(seg)
     per_segment = small_side(
-        edges.groupBy(seg).agg(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_e_{c}") for c in columns])
+        edges.groupBy(*seg).agg(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_e_{c}") for c in columns])
     )
-    binned = df.select(*time, seg, *columns).join(per_segment, seg)
+    binned = df.select(*time, *seg, *columns).join(per_segment, seg)
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), bin_of(F.col(c), F.col(f"_e_{c}")).alias("bin")) for c in columns])
     counts = (
-        binned.select(*time, seg, F.explode(cells).alias("c"))
+        binned.select(*time, *seg, F.explode(cells).alias("c"))
         .where("c.bin is not null")
-        .groupBy(*time, seg, F.col("c.feature").alias("feature"), F.col("c.bin").alias("bin"))
+        .groupBy(*time, *seg, F.col("c.feature").alias("feature"), F.col("c.bin").alias("bin"))
         .agg(F.count(F.lit(1)).alias("bin_count"))
     )
     times = df.select(F.struct(*time).alias("t")).distinct().agg(F.collect_list("t")).scalar()
     scaffold = edges_to_bins(edges, seg).withColumn("t", F.explode(times)).select(
-        *[F.col(f"t.{c}").alias(c) for c in time], seg, "feature", "bin", "bin_low", "bin_high"
+        *[F.col(f"t.{c}").alias(c) for c in time], *seg, "feature", "bin", "bin_low", "bin_high"
     )
-    return scaffold.join(counts, [*time, seg, "feature", "bin"], "left").na.fill(0, ["bin_count"])
+    return scaffold.join(counts, [*time, *seg, "feature", "bin"], "left").na.fill(0, ["bin_count"])
+
+
+def unmonitored(production: DataFrame, seg: str, columns: Sequence[str], edges: DataFrame) -> DataFrame:
+    """(seg, feature, reason) of the pairs of ``production`` that no histogram covers.
+
+    ``new segment``: the baseline has no edges for the segment at all; ``no edges``: none for this feature, as it is
+    constant or null there in the baseline.
+    """
+    pairs = production.select(seg).distinct().withColumn("feature", F.explode(F.array(*[F.lit(c) for c in columns])))
+    known = edges.select(F.col(seg).alias("_seg")).distinct().withColumn("_known", F.lit(True))
+    open_pairs = pairs.join(edges.select(F.col(seg).alias("_s"), F.col("feature").alias("_f")), F.col(seg).eqNullSafe(F.col("_s")) & (F.col("feature") == F.col("_f")), "left_anti")
+    joined = open_pairs.join(known, F.col(seg).eqNullSafe(F.col("_seg")), "left")
+    return joined.select(seg, "feature", F.when(F.col("_known"), "no edges").otherwise("new segment").alias("reason"))
 
 
 def proportions(df: DataFrame, time: Sequence[str], seg: str) -> DataFrame:

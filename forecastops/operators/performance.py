@@ -109,6 +109,23 @@ def forecast_vs_sales(
     return both.where(F.col(model).isNotNull()).unionByName(repeated)
 
 
+def forecast_vs_sales_sums(
+    forecasts: DataFrame, sales: DataFrame, keys: Sequence[str], cells: Sequence[str], *, model: str = "model_uri", y: str = "actual", yhat: str = "prediction"
+) -> DataFrame:
+    """(cells, model, row_count, actual, prediction, absolute_error, absolute_actual) of :func:`forecast_vs_sales`.
+
+    Sales that no model forecast are summed per cell first, and only these sums are repeated once per model.
+    """
+    both = forecasts.join(sales, list(keys), "full").withColumns({y: F.coalesce(F.col(y), F.lit(0.0)), yhat: F.coalesce(F.col(yhat), F.lit(0.0))})
+    sums = both.groupBy(*cells, model).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(y).alias(y), F.sum(yhat).alias(yhat),
+        F.sum(F.abs(F.col(y) - F.col(yhat))).alias("absolute_error"), F.sum(F.abs(y)).alias("absolute_actual"),
+    )
+    repeated = for_each_of(sums.where(F.col(model).isNull()).drop(model), forecasts.where(F.col(model).isNotNull()), model)
+    whole = sums.where(F.col(model).isNotNull()).unionByName(repeated).groupBy(*cells, model)
+    return whole.agg(*[F.sum(c).alias(c) for c in ("row_count", y, yhat, "absolute_error", "absolute_actual")])
+
+
 def compare_distributions(frames: Mapping[str, DataFrame], seg: str, columns: Sequence[str]) -> DataFrame:
     """Mean and standard deviation of several columns per source and segment, in one aggregation."""
     tagged = [df.select(F.lit(name).alias("source"), seg, *columns) for name, df in frames.items()]

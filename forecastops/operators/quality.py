@@ -19,17 +19,14 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def target_distribution(df: DataFrame, y: str, exact: bool = True) -> DataFrame:
-    """Count, extremes, mean, sample standard deviation and quartiles of a column."""
-    q = quantiles(df, [], y, [0.25, 0.5, 0.75], exact=exact).select("qs")
-    return df.where(F.col(y).isNotNull()).agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.min(y).alias("min_value"),
-        F.max(y).alias("max_value"),
-        F.avg(y).alias("mean_value"),
-        F.stddev_samp(y).alias("stddev_value"),
-    ).withColumn("_q", q.scalar()).select(
-        "*", *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))]
-    ).drop("_q")
+    """Long form (statistic, value) of a column: ``n``, ``mean``, ``sd`` and the quantiles ``p0`` to ``p100`` by 25."""
+    levels = (0, 25, 50, 75, 100)
+    q = quantiles(df, [], y, [p / 100 for p in levels], exact=exact).select("qs").scalar()
+    one = df.where(F.col(y).isNotNull()).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("sd")
+    )
+    wide = one.withColumn("_q", q).select("n", "mean", "sd", *[F.get("_q", F.lit(i)).alias(f"p{p}") for i, p in enumerate(levels)])
+    return wide.unpivot([], wide.columns, "statistic", "value")
 
 
 def outliers_3sigma(df: DataFrame, y: str, sigmas: float = 3.0) -> DataFrame:
@@ -87,15 +84,14 @@ def dataset_comparison(datasets: Mapping[str, DataFrame], entity: str, week: str
     )
 
 
-def date_ranges(df: DataFrame, flag: str | Column, date: str) -> DataFrame:
-    """First date, last date, days between and rows per value of ``flag``."""
-    key = F.col(flag) if isinstance(flag, str) else flag
-    return df.groupBy(key.alias("period_type")).agg(
-        F.min(date).alias("start_date"),
-        F.max(date).alias("end_date"),
-        F.datediff(F.max(date), F.min(date)).alias("days_span"),
-        F.count(F.lit(1)).alias("total_records"),
+def date_ranges(df: DataFrame, part: str | Column, date: str) -> DataFrame:
+    """Calendar coverage per ``part``: rows, first and last day, days that occur, and days between that do not."""
+    key = F.col(part) if isinstance(part, str) else part
+    per_day = df.groupBy(key.alias("part"), F.col(date).cast("date").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    days = per_day.groupBy("part").agg(
+        F.sum("_n").alias("n_rows"), F.min("_d").alias("first_day"), F.max("_d").alias("last_day"), F.count("_d").alias("days_present")
     )
+    return days.withColumn("days_absent", F.datediff("last_day", "first_day") + 1 - F.col("days_present"))
 
 
 def sufficiency(df: DataFrame, segment: str, entity: str, week: str) -> DataFrame:
@@ -144,32 +140,33 @@ def schema_compat(train: DataFrame, inference: DataFrame, exclude: Sequence[str]
 
 
 def category_rollup(tx: DataFrame, products: DataFrame) -> DataFrame:
-    """Joined rows, mean price over them, units and revenue per category; categories without sales are included.
+    """Per category its catalogue and its sales: products listed and sold, middle of their list prices, units, revenue per unit.
 
-    Transactions are summed per product before the join; a product without sales still counts as one joined row.
+    Transactions are summed per product before the join; a category without sales has 0 units.
     """
-    per_product = tx.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("units").alias("u"), F.sum("revenue").alias("r")
-    )
-    rows = F.coalesce("n", F.lit(1))
+    per_product = tx.groupBy("product_id").agg(F.sum("units").alias("u"), F.sum("revenue").alias("r"))
+    units = F.coalesce(F.sum("u"), F.lit(0.0))
     return (
         products.join(per_product, "product_id", "left")
         .groupBy("category")
         .agg(
-            F.sum(rows).alias("product_count"),
-            (F.sum(F.col("price") * rows) / F.sum(rows)).alias("avg_price"),
-            F.sum("u").alias("total_units_sold"),
-            F.sum("r").alias("total_revenue"),
+            F.count(F.lit(1)).alias("listed"),
+            F.count("u").alias("sold"),
+            ((F.min("price") + F.max("price")) / 2).alias("middle_price"),
+            units.alias("units"),
+            F.try_divide(F.sum("r"), F.sum("u")).alias("revenue_per_unit"),
         )
     )
 
 
 def yearly_summary(weekly: DataFrame) -> DataFrame:
-    """Weeks, active customers, units and revenue per year of a weekly sales table."""
-    return weekly.groupBy(F.year("week_start_date").alias("year")).agg(
-        F.countDistinct("week_start_date").alias("weeks_count"),
-        F.countDistinct("customer_id").alias("active_customers"),
-        F.sum("weekly_sales_units").alias("total_units"),
-        F.sum("weekly_sales_revenue").alias("total_revenue"),
-        F.avg("weekly_sales_units").alias("avg_weekly_units"),
+    """Per year the number of customer weeks, units per customer week, and the week with most units (the earlier on a tie).
+
+    Weeks are summed first; the year is read from those sums.
+    """
+    per_week = weekly.groupBy("week_start_date").agg(F.count(F.lit(1)).alias("n"), F.sum("weekly_sales_units").alias("u"))
+    return per_week.groupBy(F.year("week_start_date").alias("year")).agg(
+        F.sum("n").alias("customer_weeks"),
+        (F.sum("u") / F.sum("n")).alias("units_per_customer_week"),
+        F.max_by("week_start_date", F.struct("u", -F.unix_date("week_start_date"))).alias("top_week"),
     )

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from forecastops.session import cut, lookup
 
-#: Up to this many distinct (group, value) pairs, exact quantiles are one built-in aggregate over the pair counts.
+#: Up to this many distinct (group, value) pairs, running totals for exact quantiles come from one window per group. Beyond,
+#: they come from range partitions; what is done with them is the same.
 VALUE_PAIRS = 200_000
 
 
@@ -79,9 +80,37 @@ def tile_of(position: Column, size: Column, tiles: int) -> Column:
 
 
 def add_ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], tiles: int, name: str) -> DataFrame:
-    """NTILE(tiles) per group in the given total order."""
-    numbered = number_rows(df, group, order, position="_rn", size="_size")
-    return numbered.withColumn(name, tile_of(F.col("_rn"), F.col("_size"), tiles)).drop("_rn", "_size")
+    """NTILE(tiles) per group in the given total order: a value, then ids that break its ties.
+
+    Counts per (group, value) tell the tile of every value that lies in one tile; only rows whose value reaches into a
+    second tile are ranked by their ids. Full rows are neither sorted nor written. ``df`` is read up to three times.
+    """
+    value, ids = order[0], list(order[1:])
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    placed = _placed(counts, group, [value])
+    in_run = Window.partitionBy(*group, "_part").orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("_before") + F.sum("_c").over(in_run)
+    rows = _on_run(placed, lookup(_runs(placed, group, F.col("_c"))), group).withColumn("_upto", upto)
+    before = F.col("_upto") - F.col("_c")
+    rows = rows.withColumns({"_lo": tile_of(before + 1, F.col("_total"), tiles), "_hi": tile_of(F.col("_upto"), F.col("_total"), tiles), "_at": before})
+    v = F.struct(F.col(value).alias("v"))
+    whole = rows.where("_lo = _hi").groupBy(*group, "_lo").agg(F.min(v).alias("_v")).select(*group, F.col("_v.v").alias("v"), F.col("_lo").alias("tile"), F.lit(None).cast("bigint").alias("at"), F.lit(None).cast("bigint").alias("total"))
+    split = rows.where("_lo < _hi").select(*group, F.col(value).alias("v"), F.lit(None).cast("int").alias("tile"), F.col("_at").cast("bigint").alias("at"), F.col("_total").cast("bigint").alias("total"))
+    cell = F.struct("v", "tile", "at", "total")
+    edges = whole.unionByName(split).groupBy(*group).agg(F.collect_list(F.when(F.col("at").isNull(), cell)).alias("_whole"), F.collect_list(F.when(F.col("at").isNotNull(), cell)).alias("_split"))
+    side = lookup(edges.withColumnsRenamed({g: f"_g_{g}" for g in group}))
+    if group:
+        joined = df.join(side, [df[g].eqNullSafe(F.col(f"_g_{g}")) for g in group]).drop(*[f"_g_{g}" for g in group])
+    else:
+        joined = df.withColumn("_edges", side.select(F.struct("_whole", "_split")).scalar()).select(*df.columns, "_edges.*")
+    own = F.col(value)
+    tied = F.exists("_split", lambda c: c["v"].eqNullSafe(own))
+    below = F.filter("_whole", lambda c: c["v"].isNull() | (c["v"] <= own))
+    plain = joined.where(~tied).withColumn(name, F.array_max(F.transform(below, lambda c: c["tile"]))).drop("_whole", "_split")
+    run = joined.where(tied).withColumn("_cell", F.get(F.filter("_split", lambda c: c["v"].eqNullSafe(own)), F.lit(0)))
+    ranked = number_rows(run.drop("_whole", "_split"), [*group, value], ids, position="_rn")
+    ranked = ranked.withColumn(name, tile_of(F.col("_cell.at") + F.col("_rn"), F.col("_cell.total"), tiles)).drop("_cell", "_rn")
+    return plain.unionByName(ranked)
 
 
 def quantiles(
@@ -106,26 +135,38 @@ def quantiles(
         return present.groupBy(*group).agg(F.percentile_approx("_v", asked, accuracy).alias("qs"))
     counts = cut(present.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c")))
     if counts.limit(value_pairs + 1).count() <= value_pairs:
-        return counts.groupBy(*group).agg(F.percentile("_v", asked, F.col("_c")).alias("qs"))
+        w = Window.partitionBy(*group)
+        upto = F.sum("_c").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+        rows = counts.withColumns({"_upto": upto, "_total": F.sum("_c").over(w)})
+        return _at_ranks(rows.withColumn("_want", F.array(*_wanted(probs))), group)
     return _ranged_quantiles(counts, group, probs)
 
 
-def _ranged_quantiles(counts: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Quantiles from (group, value, count) rows: only the partitions that hold a wanted rank are read row by row."""
-    placed = _placed(counts, group, ["_v"])
-    runs = _runs(placed, group, F.col("_c"))
-    wanted = []
+def _wanted(probs: Sequence[float]) -> list[Column]:
+    """The two ranks (from 0) that each quantile of ``_total`` values lies between."""
+    out = []
     for k, p in enumerate(probs):
         at = (F.col("_total") - 1) * F.lit(float(p))
-        wanted += [
+        out += [
             F.struct(F.lit(k).alias("k"), F.lit(side).alias("side"), rank.cast("bigint").alias("rank"), (at - F.floor(at)).alias("frac"))
             for side, rank in ((0, F.floor(at)), (1, F.ceil(at)))
         ]
+    return out
+
+
+def _ranged_quantiles(counts: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles from (group, value, count) rows: only the partitions that hold a wanted rank are read row by row."""
+    placed = _placed(counts, group, ["_v"])
+    runs = _runs(placed, group, F.col("_c"))
     inside = lambda t: (t["rank"] >= F.col("_before")) & (t["rank"] < F.col("_before") + F.col("_n"))
-    located = runs.withColumn("_want", F.filter(F.array(*wanted), inside)).where(F.size("_want") > 0)
+    located = runs.withColumn("_want", F.filter(F.array(*_wanted(probs)), inside)).where(F.size("_want") > 0)
     rows = _on_run(placed, lookup(located.drop("_total", "_first")), group)
     w = Window.partitionBy(*group, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_upto", F.col("_before") + F.sum("_c").over(w))
+    return _at_ranks(rows.withColumn("_upto", F.col("_before") + F.sum("_c").over(w)), group)
+
+
+def _at_ranks(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Quantiles from value counts with their running total ``_upto`` and the ranks ``_want``, whichever way these were found."""
     held = F.filter("_want", lambda t: (t["rank"] < F.col("_upto")) & (t["rank"] >= F.col("_upto") - F.col("_c")))
     hits = rows.select(*group, "_v", F.explode(held).alias("t"))
     each = hits.groupBy(*group, F.col("t.k").alias("k")).agg(

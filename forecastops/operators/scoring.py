@@ -13,9 +13,6 @@ from forecastops.functions.calendar import calmonth, week_to_date
 from forecastops.functions.keys import entity_key, entity_map, record_id, stable_bucket
 from forecastops.session import lookup
 
-# Fixed value: business unit of the landing rows unless another is given.
-BUSINESS_UNIT = "MXBEB"
-
 
 def _required(df: DataFrame, columns: Sequence[str]) -> None:
     absent = [c for c in columns if c not in df.columns]
@@ -24,22 +21,26 @@ def _required(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def partitioned_score(
-    df: DataFrame, models: DataFrame, seg: str, features: Sequence[str], *, unknown: str = "raise", prediction: str = "prediction"
+    df: DataFrame, models: DataFrame, seg: str | Sequence[str], features: Sequence[str], *, unknown: str = "raise", prediction: str = "prediction"
 ) -> DataFrame:
     """Prediction of each row by its segment's linear model, as a column expression over the joined coefficients.
 
+    ``seg`` is one column or several that name a model together; nulls are values like any other.
+
     Rows of a segment without model stop the job (``unknown="raise"``), or stay with a null prediction (``"null"``).
     """
-    _required(df, [seg, *features])
-    side = lookup(models.select(F.col(seg).alias("_seg"), "intercept", "coefficients"))
-    joined = df.join(side, df[seg] == F.col("_seg"), "left")
+    parts = [seg] if isinstance(seg, str) else list(seg)
+    _required(df, [*parts, *features])
+    side = lookup(models.select(*[F.col(c).alias(f"_m_{c}") for c in parts], "intercept", "coefficients", F.lit(True).alias("_has")))
+    joined = df.join(side, [df[c].eqNullSafe(F.col(f"_m_{c}")) for c in parts], "left")
     value = F.col("intercept")
     for i, f in enumerate(features):
         value = value + F.get("coefficients", F.lit(i)) * F.coalesce(F.col(f).cast("double"), F.lit(0.0))
     if unknown == "raise":
-        text = F.concat(F.lit("no model for segment "), F.coalesce(F.col(seg).cast("string"), F.lit("null")))
-        value = F.when(F.col("_seg").isNull(), F.raise_error(text).cast("double")).otherwise(value)
-    return joined.withColumn(prediction, value).drop("_seg", "intercept", "coefficients")
+        named = F.concat_ws(", ", *[F.coalesce(df[c].cast("string"), F.lit("null")) for c in parts])
+        text = F.concat(F.lit("no model for segment "), named)
+        value = F.when(F.col("_has").isNull(), F.raise_error(text).cast("double")).otherwise(value)
+    return joined.withColumn(prediction, value).drop("_has", "intercept", "coefficients", *[f"_m_{c}" for c in parts])
 
 
 def routed_score(
@@ -84,7 +85,7 @@ def prediction_records(
     week: str = "week",
     target: str = "y",
     prediction: str = "prediction",
-    unit: str = BUSINESS_UNIT,
+    unit: str,
     loaded_at: Column | None = None,
 ) -> DataFrame:
     """Scored rows in the predictions contract: deterministic id, key bag, month."""
@@ -102,6 +103,7 @@ def prediction_records(
         F.lit(model).alias("model_name"),
         v.alias("model_version"),
         entity_map(bag).alias("entity_map"),
+        F.col(week).cast("int").alias("week"),
         F.col(prediction).cast("double").alias("prediction"),
         F.lit(unit).alias("bkcc"),
         calmonth(date).alias("calmonth"),
@@ -116,7 +118,7 @@ def prediction_view(predictions: DataFrame, ids: Mapping[str, str], seg: str) ->
         "model_name",
         "model_version",
         *[entity_key("entity_map", k, t).alias(k) for k, t in ids.items()],
-        entity_key("entity_map", "week", "int").alias("week"),
+        "week",
         entity_key("entity_map", "partition_value").alias(seg),
         "prediction",
     )
@@ -147,7 +149,4 @@ def canary_score(
     routed = canary_split(df, ids, percent)
     both = candidate.withColumn("route", F.lit("candidate")).unionByName(production.withColumn("route", F.lit("production")))
     names = both.groupBy("route").agg(F.max("model_version").alias("model_version"))
-    keyed = routed.withColumn("_key", F.concat_ws("/", "route", seg))
-    models = both.withColumn("_key", F.concat_ws("/", "route", seg))
-    scored = partitioned_score(keyed, models, "_key", features)
-    return scored.drop("_key").join(lookup(names), "route")
+    return partitioned_score(routed, both, ["route", seg], features).join(lookup(names), "route")

@@ -67,8 +67,8 @@ def temporal_split(
     """Add ``is_test``: per segment the oldest floor(n * (1 - test)) rows are training rows.
 
     Only one week per segment can straddle the cut; every other row is decided by its week alone, and just the rows of
-    the straddling weeks are ordered (by ``ids``). ``by="week"`` keeps the straddling week whole, in training. The rows are
-    read three times: pass a stored frame.
+    the straddling weeks are ordered (by ``ids``). ``by="week"`` keeps the straddling week whole, in training. Rows without
+    week are the oldest. The rows are read three times: pass a stored frame.
     """
     counts = df.groupBy(seg, week).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(seg)
@@ -78,14 +78,15 @@ def temporal_split(
         counts.withColumns({"_upto": upto, "_cut": cut_at})
         .where("_upto >= _cut")
         .groupBy(seg)
-        .agg(F.min(F.struct(F.col(week).alias("w"), (F.col("_cut") - F.col("_upto") + F.col("_n")).alias("take"))).alias("_e"))
+        .agg(F.min(F.struct(F.col(week).isNotNull().alias("has"), F.col(week).alias("w"), (F.col("_cut") - F.col("_upto") + F.col("_n")).alias("take"))).alias("_e"))
         .select(F.col(seg).alias("_seg"), F.col("_e.w").alias("_w"), F.col("_e.take").alias("_take"))
     )
     joined = df.join(lookup(edges), df[seg].eqNullSafe(F.col("_seg"))).drop("_seg")
+    later = F.col(week).isNotNull() & (F.col("_w").isNull() | (F.col(week) > F.col("_w")))
     if by == "week":
-        return joined.withColumn("is_test", F.col(week) > F.col("_w")).drop("_w", "_take")
-    decided = joined.where(F.col(week) != F.col("_w")).withColumn("is_test", F.col(week) > F.col("_w"))
-    straddling = number_rows(joined.where(F.col(week) == F.col("_w")), [seg], ids, position="_rn")
+        return joined.withColumn("is_test", later).drop("_w", "_take")
+    decided = joined.where(~F.col(week).eqNullSafe(F.col("_w"))).withColumn("is_test", later)
+    straddling = number_rows(joined.where(F.col(week).eqNullSafe(F.col("_w"))), [seg], ids, position="_rn")
     straddling = straddling.withColumn("is_test", F.col("_rn") > F.col("_take")).drop("_rn")
     return decided.unionByName(straddling).drop("_w", "_take")
 

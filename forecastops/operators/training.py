@@ -1,6 +1,6 @@
 """One model per segment: linear fits, parameter search and model choice from grouped moments.
 
-A linear model needs only sums of products. Spark forms them for all segments in one aggregation with map-side combine,
+A linear model needs only means and covariances. Spark forms them for all segments in one aggregation with map-side combine,
 so a segment with a large share of the rows costs no more than its scan; what reaches Python is one row per segment.
 """
 
@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fewest rows of a segment, and of its validation part, for a search.
+# Fewest rows of a segment, and of the part of them that a search is fitted on.
 MIN_ROWS, MIN_SAMPLE = 50, 20
 
 
@@ -26,46 +26,41 @@ def _moments(features: Sequence[str], y: str) -> dict[str, Column]:
     pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
     return {
         "n": F.count(F.lit(1)),
-        "sy": F.sum(t),
-        "syy": F.sum(t * t),
-        "sx": F.array(*[F.sum(c) for c in x]),
-        "sxy": F.array(*[F.sum(c * t) for c in x]),
-        "sxx": F.array(*[F.sum(x[i] * x[j]) for i, j in pairs]),
+        "my": F.avg(t),
+        "vyy": F.var_pop(t),
+        "mx": F.array(*[F.avg(c) for c in x]),
+        "cxy": F.array(*[F.covar_pop(c, t) for c in x]),
+        "cxx": F.array(*[F.covar_pop(x[i], x[j]) for i, j in pairs]),
     }
 
 
 def moments(df: DataFrame, group: Sequence[str], features: Sequence[str], y: str) -> DataFrame:
-    """Sums of products of features and target per group; a null feature counts as 0, rows without target are left out."""
+    """Means and population covariances of features and target per group; a null feature counts as 0, rows without target
+    are left out. Their buffers are centred and merge centred, so large offsets cost no digits."""
     return df.where(F.col(y).isNotNull()).groupBy(*group).agg(*[c.alias(n) for n, c in _moments(features, y).items()])
 
 
-def _normal(row, prefix: str, keep: Sequence[int]) -> tuple[np.ndarray, np.ndarray, float, float]:
-    """Normal matrix (intercept first), right side, sum of squares and row count, restricted to some features."""
-    sx, sxy, sxx = (np.asarray(row[prefix + k], dtype=float) for k in ("sx", "sxy", "sxx"))
-    d = len(sx)
+def _centred(row, prefix: str, keep: Sequence[int]) -> tuple[float, float, float, np.ndarray, np.ndarray, np.ndarray]:
+    """Row count, mean and variance of the target, then means, covariances with it and covariances of some features."""
+    mx, cxy, cxx = (np.asarray(row[prefix + k], dtype=float) for k in ("mx", "cxy", "cxx"))
+    d = len(mx)
     full = np.zeros((d, d))
-    full[np.triu_indices(d)] = sxx
+    full[np.triu_indices(d)] = cxx
     full = full + np.triu(full, 1).T
-    n = float(row[prefix + "n"])
-    a = np.zeros((len(keep) + 1, len(keep) + 1))
-    a[0, 0] = n
-    a[0, 1:] = a[1:, 0] = sx[keep]
-    a[1:, 1:] = full[np.ix_(keep, keep)]
-    b = np.concatenate([[row[prefix + "sy"]], sxy[keep]])
-    return a, b, float(row[prefix + "syy"]), n
+    return float(row[prefix + "n"]), float(row[prefix + "my"]), float(row[prefix + "vyy"]), mx[keep], cxy[keep], full[np.ix_(keep, keep)]
 
 
-def _solve(a: np.ndarray, b: np.ndarray, ridge: float) -> np.ndarray:
-    """Least squares with a penalty on the slopes; collinear features share their weight."""
-    penalty = ridge * np.eye(len(b))
-    penalty[0, 0] = 0.0
-    scale = np.sqrt(np.maximum(np.diag(a), 1e-12))
-    scaled = (a + penalty) / np.outer(scale, scale)
-    return np.linalg.lstsq(scaled, b / scale, rcond=1e-10)[0] / scale
+def _solve(n: float, cxy: np.ndarray, cxx: np.ndarray, ridge: float) -> np.ndarray:
+    """Least-squares slopes with a penalty; collinear features share their weight."""
+    scale = np.sqrt(np.maximum(np.diag(cxx), 1e-12))
+    scaled = (cxx + ridge / n * np.eye(len(cxy))) / np.outer(scale, scale)
+    return np.linalg.lstsq(scaled, cxy / scale, rcond=1e-10)[0] / scale
 
 
-def _rmse(a: np.ndarray, b: np.ndarray, syy: float, n: float, beta: np.ndarray) -> float:
-    return math.sqrt(max(syy - 2 * beta @ b + beta @ a @ beta, 0.0) / n)
+def _rmse(part: tuple, intercept: float, slopes: np.ndarray) -> float:
+    _, my, vyy, mx, cxy, cxx = part
+    spread = vyy - 2 * slopes @ cxy + slopes @ cxx @ slopes
+    return math.sqrt(max(spread, 0.0) + (my - intercept - slopes @ mx) ** 2)
 
 
 def grouped_fit(df: DataFrame, seg: str, features: Sequence[str], y: str, ridge: float = 0.0) -> DataFrame:
@@ -79,9 +74,10 @@ def grouped_fit(df: DataFrame, seg: str, features: Sequence[str], y: str, ridge:
         for pdf in batches:
             out = []
             for row in pdf.to_dict("records"):
-                a, b, syy, n = _normal(row, "", keep)
-                beta = _solve(a, b, ridge)
-                out.append((row[seg], int(n), float(beta[0]), [float(v) for v in beta[1:]], _rmse(a, b, syy, n, beta)))
+                part = n, my, _, mx, cxy, cxx = _centred(row, "", keep)
+                slopes = _solve(n, cxy, cxx, ridge)
+                intercept = my - slopes @ mx
+                out.append((row[seg], int(n), float(intercept), [float(v) for v in slopes], _rmse(part, intercept, slopes)))
             yield pd.DataFrame(out, columns=[seg, "n_rows", "intercept", "coefficients", "train_rmse"])
 
     kind = df.schema[seg].dataType.simpleString()
@@ -116,7 +112,7 @@ def trial_search(
     """Every trial of every segment, fitted on the training rows and judged on the test rows.
 
     The data is read once whatever the number of trials: both fit and validation error follow from the moments.
-    Segments with too few rows are left out.
+    Segments with too few rows are not searched; :func:`unsearched_segments` names them.
     """
     plain = [
         {"trial": t["trial"], "ridge": float(t["ridge"]), "features": list(t.get("features", range(len(features))))}
@@ -129,25 +125,37 @@ def trial_search(
             out = []
             for row in pdf.to_dict("records"):
                 for t in plain:
-                    a, b, _, n = _normal(row, "fit_", t["features"])
-                    va, vb, vyy, vn = _normal(row, "val_", t["features"])
-                    beta = _solve(a, b, t["ridge"])
+                    n, my, _, mx, cxy, cxx = _centred(row, "fit_", t["features"])
+                    val = _centred(row, "val_", t["features"])
+                    slopes = _solve(n, cxy, cxx, t["ridge"])
                     params = json.dumps({"ridge": t["ridge"], "features": [names[i] for i in t["features"]]})
-                    out.append((row[seg], t["trial"], params, int(n), int(vn), _rmse(va, vb, vyy, vn, beta)))
+                    out.append((row[seg], t["trial"], params, int(n), int(val[0]), _rmse(val, my - slopes @ mx, slopes)))
             yield pd.DataFrame(out, columns=[seg, "trial", "params", "sample_size", "validation_size", "val_rmse"])
 
-    sums = moments(df, [seg, is_test], features, y)
+    sums = moments(df.where(F.col(is_test).isNotNull()), [seg, is_test], features, y)
     names_of = [c for c in sums.columns if c not in (seg, is_test)]
     part = lambda c, test: F.max(F.when(F.col(is_test) == test, F.col(c)))
     wide = sums.groupBy(seg).agg(
         *[part(c, False).alias(f"fit_{c}") for c in names_of], *[part(c, True).alias(f"val_{c}") for c in names_of]
     )
-    enough = (F.col("fit_n") + F.col("val_n") >= min_rows) & (F.col("val_n") >= min_sample) & (F.col("fit_n") > 0)
+    enough = (F.col("fit_n") + F.col("val_n") >= min_rows) & (F.col("fit_n") >= min_sample) & (F.col("val_n") > 0)
     kind = df.schema[seg].dataType.simpleString()
     schema = f"`{seg}` {kind}, trial int, params string, sample_size bigint, validation_size bigint, val_rmse double"
     return wide.where(enough).mapInPandas(evaluate, schema)
 
 
+def unsearched_segments(df: DataFrame, seg: str, y: str, *, is_test: str = "is_test", min_rows: int = MIN_ROWS, min_sample: int = MIN_SAMPLE) -> DataFrame:
+    """(seg, n_rows, sample_size, reason) of the segments that :func:`trial_search` leaves out."""
+    used = F.col(y).isNotNull() & F.col(is_test).isNotNull()
+    counts = df.groupBy(seg).agg(F.count_if(used).alias("n_rows"), F.count_if(used & ~F.col(is_test)).alias("sample_size"))
+    reason = (
+        F.when(F.col("n_rows") < min_rows, "rows")
+        .when(F.col("sample_size") < min_sample, "sample")
+        .when(F.col("sample_size") == F.col("n_rows"), "no validation rows")
+    )
+    return counts.withColumn("reason", reason).where("reason is not null")
+
+
 def best_trial(trials: DataFrame, seg: str) -> DataFrame:
     """The trial with the smallest validation error per segment, the earlier one on a tie."""
     rest = [c for c in trials.columns if c != seg]
@@ -215,14 +223,22 @@ def fit_trees(df: DataFrame, seg: str, segments: Sequence, features: Sequence[st
     return {s: learner.fit(ready.where(F.col(seg) == s).select("_x", y)) for s in segments}
 
 
-def score_trees(df: DataFrame, seg: str, models: Mapping, features: Sequence[str]) -> DataFrame:
-    """Rows of the modelled segments with their tree model's prediction."""
+def score_trees(df: DataFrame, seg: str, models: Mapping, features: Sequence[str], *, unknown: str = "raise") -> DataFrame:
+    """Rows with their segment's tree model's prediction.
+
+    Rows of a segment without model stop the job (``unknown="raise"``), or stay with a null prediction (``"null"``).
+    The rows are read once per model: pass a frame stored by segment.
+    """
     from pyspark.ml.feature import VectorAssembler
 
     ready = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep").transform(df.na.fill(0, list(features)))
     parts = [m.transform(ready.where(F.col(seg) == s)) for s, m in models.items()]
-    out = parts[0]
-    for p in parts[1:]:
+    other = ready.where(F.col(seg).isNull() | ~F.col(seg).isin(list(models)))
+    missing = F.lit(None).cast("double")
+    if unknown == "raise":
+        missing = F.raise_error(F.concat(F.lit("no model for segment "), F.coalesce(F.col(seg).cast("string"), F.lit("null")))).cast("double")
+    out = other.withColumn("prediction", missing)
+    for p in parts:
         out = out.unionByName(p)
     return out.drop("_x")
 

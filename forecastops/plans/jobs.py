@@ -1,6 +1,6 @@
 """End-to-end monitoring jobs over landing datasets: score, baselines, data drift, prediction drift, performance.
 
-Every job finds the (week, version) pairs without results, computes all of them in one plan, and upserts by record id,
+Every job finds the (week, version) pairs without results, computes all of them in one plan per breakdown column, and upserts by record id,
 so that running it again changes nothing. Datasets lie under one root and are partitioned by calendar month.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from forecastops import contracts as ct
 from forecastops.functions.calendar import calmonth, week_to_date
+from forecastops.functions import metrics as mt
 from forecastops.functions.keys import entity_map, record_id
 from forecastops.operators import alerts as al
 from forecastops.operators import drift as dr
@@ -62,6 +63,7 @@ def _records(
         F.lit(model).alias("model_name"),
         "model_version",
         entity_map(bag).alias("entity_map"),
+        F.col("week").cast("int").alias("week"),
         agg_col.alias("aggregated_col"),
         value.cast("string").alias("aggregated_value"),
         metric.alias("metric_col"),
@@ -81,7 +83,7 @@ def _metric_map(**fields: Column) -> Column:
 
 
 def score(
-    spark: SparkSession, root: str, features: DataFrame, models: DataFrame, model: str, seg: str, columns: Sequence[str], ids: Sequence[str]
+    spark: SparkSession, root: str, features: DataFrame, models: DataFrame, model: str, seg: str, columns: Sequence[str], ids: Sequence[str], *, unit: str
 ) -> None:
     """Predictions of every version for the weeks it has none for.
 
@@ -89,16 +91,18 @@ def score(
     """
     weeks = features.select("week").distinct()
     wanted = for_each_of(weeks, models, "model_version")
-    landed = read(spark, root, "predictions").where(F.col("model_name") == model).select(
-        F.col("entity_map")["week"].cast("int").alias("week"), "model_version"
-    )
+    landed = read(spark, root, "predictions").where(F.col("model_name") == model).select("week", "model_version")
     todo = lookup(la.missing_slices(wanted, landed, ["week", "model_version"]))
     if todo.isEmpty():
         return
-    key = F.concat_ws("/", "model_version", seg)
-    rows = features.join(todo, "week").withColumn("_key", key)
-    scored = sc.partitioned_score(rows, models.withColumn("_key", key), "_key", columns)
-    _land(spark, root, "predictions", sc.prediction_records(scored, model, F.col("model_version"), seg, ids))
+    rows = _of_weeks(features, todo).join(todo, "week")
+    scored = sc.partitioned_score(rows, models, ["model_version", seg], columns)
+    _land(spark, root, "predictions", sc.prediction_records(scored, model, F.col("model_version"), seg, ids, unit=unit))
+
+
+def _of_weeks(rows: DataFrame, todo: DataFrame) -> DataFrame:
+    """Rows of the wanted weeks; the weeks are few and prune a dataset that is partitioned by them."""
+    return rows.where(la.among(todo.select("week")))
 
 
 # --- drift --------------------------------------------------------------------------------------------------------------
@@ -118,7 +122,7 @@ def _stored(table: DataFrame, model: str, metric: str, seg: str) -> DataFrame:
     """Landed histogram cells as typed columns."""
     bag, cell = F.col("entity_map"), F.col("metric_map")
     return table.where((F.col("model_name") == model) & (F.col("metric_col") == metric) & (F.col("aggregated_col") == seg)).select(
-        bag["week"].cast("int").alias("week"),
+        "week",
         "model_version",
         F.col("aggregated_value").alias(seg),
         bag["feature_name"].alias("feature"),
@@ -144,47 +148,70 @@ def drift_baseline(
 ) -> None:
     """Segment shares and histograms of the baseline weeks of a version, on bins made from the same rows.
 
-    With ``predictions`` the histograms of the prediction column go to the prediction tables instead.
+    With ``predictions`` the histograms of the prediction column go to the prediction tables instead. What a breakdown column
+    already has of the version stays; further columns are added by a later call.
     """
     table = "prediction_histograms_baseline" if predictions else "histograms_baseline"
     known = read(spark, root, table).where((F.col("model_name") == model) & (F.col("model_version") == version))
-    if not known.isEmpty():
-        return
+    done = {(r.aggregated_col, r.metric_col) for r in known.where(F.col("aggregated_col").isin(list(segs))).select("aggregated_col", "metric_col").distinct().collect()}
     tagged = rows.withColumn("model_version", F.lit(version))
     parts = []
     for seg in segs:
-        if not predictions:
+        if not predictions and (seg, PSI) not in done:
             parts.append(_share_rows(hi.proportions(tagged, ["week", "model_version"], seg), model, seg))
-        edges = hi.bin_edges(rows, seg, low, high, exact=exact)
-        parts.append(_bin_rows(hi.histogram(tagged, ["week", "model_version"], seg, [*low, *high], edges), model, seg))
+        if (seg, JS) not in done:
+            edges = hi.bin_edges(rows, seg, low, high, exact=exact)
+            parts.append(_bin_rows(hi.histogram(tagged, ["week", "model_version"], seg, [*low, *high], edges), model, seg))
+    if not parts:
+        return
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     _land(spark, root, table, out)
 
 
-def _drift_rows(df: DataFrame, model: str, metric: str, seg: str, value: str | Column, number: str, limits: tuple[float, float], extra: Sequence[str] = ()) -> DataFrame:
+def _drift_rows(
+    df: DataFrame, model: str, metric: str, seg: str, value: str | Column, number: str, limits: tuple[float, float], unit: str, extra: Sequence[str] = ()
+) -> DataFrame:
     return _records(
         df, model, metric, seg, value, extra,
         metric_value=F.col(number), warning_threshold=F.lit(limits[0]), critical_threshold=F.lit(limits[1]),
-        alert_level=F.col("alert_level"), bkcc=F.lit(sc.BUSINESS_UNIT),
+        alert_level=F.col("alert_level"), bkcc=F.lit(unit),
     )
 
 
+def _without_value(out: DataFrame, todo: DataFrame) -> DataFrame:
+    """The wanted pairs that gave no row, with a null number: all their segments are unknown to the baseline.
+
+    They are landed as well, so that the next run does not take them up again.
+    """
+    rest = la.missing_slices(todo, out, ["week", "model_version"])
+    return rest.select("week", "model_version", *[F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema if f.name not in ("week", "model_version")])
+
+
 def _version_histogram(todo: DataFrame, rows: DataFrame, stored: DataFrame, seg: str, columns: Sequence[str]) -> DataFrame:
     """Histograms of the wanted (week, version) pairs, each version on its own baseline's bins."""
-    both = F.concat_ws("/", "model_version", seg)
-    split = lambda h: h.withColumns(
-        {"model_version": F.split_part("_vs", F.lit("/"), F.lit(1)), seg: F.split_part("_vs", F.lit("/"), F.lit(2))}
-    )
-    edges = cut(hi.bins_to_edges(stored.withColumn("_vs", both), "_vs"))
-    hist = split(hi.histogram(rows.withColumn("_vs", both), ["week"], "_vs", columns, edges)).drop("_vs")
+    both = ["model_version", seg]
+    edges = cut(hi.bins_to_edges(stored, both))
+    hist = hi.histogram(rows, ["week"], both, columns, edges)
     # bins of a version only at the weeks asked of that version
     return hist.join(todo, ["week", "model_version"], "left_semi")
 
 
-def data_drift(spark: SparkSession, root: str, features: DataFrame, model: str, segs: Sequence[str], columns: Sequence[str], *, min_week: int | None = None) -> None:
-    """Segment-share PSI and feature Jensen-Shannon distance of every new (week, version), with alerts."""
+def _land_distance(spark: SparkSession, root: str, table: str, hist: DataFrame, stored: DataFrame, todo: DataFrame, model: str, seg: str, unit: str) -> None:
+    out = cut(dr.js_distance(hist, stored, ["week", "model_version"], [seg, "feature"], keys=["model_version"]))
+    rows = _drift_rows(out, model, JS, seg, F.col(seg), "js_distance", dr.JS_LIMITS, unit, ["feature"])
+    none = _drift_rows(_without_value(out, todo), model, JS, seg, pf.FULL_MODEL, "js_distance", dr.JS_LIMITS, unit)
+    _land(spark, root, table, rows.unionByName(none))
+
+
+def data_drift(
+    spark: SparkSession, root: str, features: DataFrame, model: str, segs: Sequence[str], columns: Sequence[str], *, unit: str, min_week: int | None = None
+) -> None:
+    """Segment-share PSI and feature Jensen-Shannon distance of every new (week, version), with alerts.
+
+    A pair whose segments are all unknown to the baseline lands with a null value.
+    """
     predictions = read(spark, root, "predictions").where(F.col("model_name") == model)
     time = ["week", "model_version"]
     base = read(spark, root, "histograms_baseline")
@@ -197,20 +224,22 @@ def data_drift(spark: SparkSession, root: str, features: DataFrame, model: str,
     for seg in segs:
         todo = missing(seg, PSI)
         if not todo.isEmpty():
-            shares = cut(hi.proportions(features.join(todo, "week"), time, seg))
+            shares = cut(hi.proportions(_of_weeks(features, todo).join(todo, "week"), time, seg))
             _land(spark, root, "histograms", _share_rows(shares, model, seg))
-            out = dr.psi(shares, _stored(base, model, PSI, seg), seg, time, keys=["model_version"])
-            _land(spark, root, "drift", _drift_rows(out, model, PSI, seg, pf.FULL_MODEL, "psi", dr.PSI_LIMITS))
+            out = cut(dr.psi(shares, _stored(base, model, PSI, seg), seg, time, keys=["model_version"]))
+            rows = out.unionByName(_without_value(out, todo))
+            _land(spark, root, "drift", _drift_rows(rows, model, PSI, seg, pf.FULL_MODEL, "psi", dr.PSI_LIMITS, unit))
         todo = missing(seg, JS)
         if not todo.isEmpty():
             stored = cut(_stored(base, model, JS, seg))
-            hist = cut(_version_histogram(todo, features.join(todo, "week"), stored, seg, columns))
+            hist = cut(_version_histogram(todo, _of_weeks(features, todo).join(todo, "week"), stored, seg, columns))
             _land(spark, root, "histograms", _bin_rows(hist, model, seg))
-            out = dr.js_distance(hist, stored, time, [seg, "feature"], keys=["model_version"])
-            _land(spark, root, "drift", _drift_rows(out, model, JS, seg, F.col(seg), "js_distance", dr.JS_LIMITS, ["feature"]))
+            _land_distance(spark, root, "drift", hist, stored, todo, model, seg, unit)
 
 
-def prediction_drift(spark: SparkSession, root: str, model: str, segs: Sequence[str], view: DataFrame, *, min_week: int | None = None) -> None:
+def prediction_drift(
+    spark: SparkSession, root: str, model: str, segs: Sequence[str], view: DataFrame, *, unit: str, min_week: int | None = None
+) -> None:
     """Jensen-Shannon distance of the predictions of every new (week, version).
 
     ``view`` holds week, model_version, prediction and the breakdown columns of the landed predictions.
@@ -222,50 +251,53 @@ def prediction_drift(spark: SparkSession, root: str, model: str, segs: Sequence[
         if todo.isEmpty():
             continue
         stored = cut(_stored(read(spark, root, "prediction_histograms_baseline"), model, JS, seg))
-        rows = view.join(todo, ["week", "model_version"], "left_semi")
+        rows = _of_weeks(view, todo).join(todo, ["week", "model_version"], "left_semi")
         hist = cut(_version_histogram(todo, rows, stored, seg, ["prediction"]))
         _land(spark, root, "prediction_histograms", _bin_rows(hist, model, seg))
-        out = dr.js_distance(hist, stored, ["week", "model_version"], [seg, "feature"], keys=["model_version"])
-        _land(spark, root, "prediction_drift", _drift_rows(out, model, JS, seg, F.col(seg), "js_distance", dr.JS_LIMITS, ["feature"]))
+        _land_distance(spark, root, "prediction_drift", hist, stored, todo, model, seg, unit)
 
 
 # --- performance ----------------------------------------------------------------------------------------------------------
 
 
-def _metric_rows(df: DataFrame, model: str, **columns: Column) -> DataFrame:
+def _metric_rows(df: DataFrame, model: str, unit: str, **columns: Column) -> DataFrame:
     return _records(
         df, model, F.col("metric_col"), F.col("aggregated_col"), F.col("aggregated_value"),
-        metric_value=F.col("metric_value"), bkcc=F.lit(sc.BUSINESS_UNIT), **columns,
+        metric_value=F.col("metric_value"), bkcc=F.lit(unit), **columns,
     )
 
 
 def performance_baseline(
-    spark: SparkSession, root: str, view: DataFrame, actuals: DataFrame, model: str, segs: Sequence[str], y: str, keys: Sequence[str]
+    spark: SparkSession, root: str, view: DataFrame, actuals: DataFrame, model: str, segs: Sequence[str], y: str, keys: Sequence[str], *, unit: str
 ) -> None:
     """Error metrics of the baseline weeks; forecasts without actual are left out."""
     paired = pf.pair_actuals(view, actuals, keys, y, "inner")
-    _land(spark, root, "performance_baseline", _metric_rows(pf.metric_rollup(paired, segs, y, "prediction"), model))
+    _land(spark, root, "performance_baseline", _metric_rows(pf.metric_rollup(paired, segs, y, "prediction"), model, unit))
 
 
 def performance(
-    spark: SparkSession, root: str, view: DataFrame, actuals: DataFrame, model: str, segs: Sequence[str], y: str, keys: Sequence[str], *, min_week: int | None = None
+    spark: SparkSession, root: str, view: DataFrame, actuals: DataFrame, model: str, segs: Sequence[str], y: str, keys: Sequence[str], *, unit: str, min_week: int | None = None
 ) -> None:
     """Error metrics of every new (week, version) that has actuals, their change from the baseline, alerts.
 
-    In production a forecast without actual counts as a sale of 0.
+    A pair is new as long as any breakdown column lacks any metric, so a column added later is made up for. In production a
+    forecast without actual counts as a sale of 0.
     """
     predictions = read(spark, root, "predictions").where(F.col("model_name") == model)
     landed = read(spark, root, "performance").where(F.col("model_name") == model)
-    with_actuals = actuals.select("week").distinct()
-    todo = lookup(la.new_combos(predictions, landed, segs[0], "wape", min_week).join(with_actuals, "week", "left_semi"))
+    cells = F.explode(F.array(*[F.struct(F.lit(s).alias("aggregated_col"), F.lit(n).alias("metric_col")) for s in segs for n in mt.monitored()]))
+    pairs = predictions if min_week is None else predictions.where((F.col("calmonth") >= calmonth(week_to_date(F.lit(min_week)))) & (F.col("week") >= min_week))
+    wanted = pairs.select("week", "model_version").distinct().select("week", "model_version", cells.alias("c")).select("week", "model_version", "c.*")
+    missing = la.missing_slices(wanted, landed, ["week", "model_version", "aggregated_col", "metric_col"])
+    todo = lookup(missing.select("week", "model_version").distinct().join(actuals.select("week").distinct(), "week", "left_semi"))
     if todo.isEmpty():
         return
-    rows = view.join(todo, ["week", "model_version"], "left_semi")
+    rows = _of_weeks(view, todo).join(todo, ["week", "model_version"], "left_semi")
     metrics = pf.metric_rollup(pf.pair_actuals(rows, actuals, keys, y, "left"), segs, y, "prediction")
     base = pf.metric_baseline(read(spark, root, "performance_baseline").where(F.col("model_name") == model))
     out = al.relative_alert(metrics, base)
     names = ("metric_drift", "warning_threshold", "critical_threshold", "alert_level")
-    _land(spark, root, "performance", _metric_rows(out, model, **{n: F.col(n) for n in names}))
+    _land(spark, root, "performance", _metric_rows(out, model, unit, **{n: F.col(n) for n in names}))
 
 
 def summary(spark: SparkSession, root: str, tables: Mapping[str, object] = TABLES) -> DataFrame:

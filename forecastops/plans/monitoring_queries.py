@@ -13,7 +13,7 @@ from forecastops.operators import performance as pf
 from forecastops.operators.features import guarded_lags
 from forecastops.operators.ranking import add_ntile
 from forecastops.plans.frames import ROW_IDS, SERIES_IDS, baseline, grouped, production, stored_groups, weekly_sales
-from forecastops.session import cut
+from forecastops.session import cut, store
 from forecastops.plans.registry import BASE, PANEL, SPLIT_WEEK, TX, lag_sql, query, with_
 
 LOW, HIGH = ["quarter"], ["sum_p4w", "avg_past_12_weeks"]
@@ -64,11 +64,11 @@ def _edges(spark, sf, low, high):
 
 
 def _histograms(spark, sf, low, high):
-    """Baseline and production histograms on the baseline's bins, from the features written once."""
+    """Baseline and production histograms on the baseline's bins, counted in one pass over the features written once."""
     rows = stored_groups(spark, sf)
     edges = hi.bin_edges(baseline(rows), SEG, low, high, exact=True)
-    cols = [*low, *high]
-    return hi.histogram(baseline(rows), ["week"], SEG, cols, edges), hi.histogram(production(rows), ["week"], SEG, cols, edges)
+    hist = store(hi.histogram(rows, ["week"], SEG, [*low, *high], edges))
+    return baseline(hist), production(hist)
 
 
 @query("unpivot_features", with_([*BASE, BASELINE, LONG.format(t="base")], "SELECT week, stats_group, feature, COUNT(*) AS n, SUM(value) AS total FROM long_base GROUP BY ALL"), "total")
@@ -422,7 +422,7 @@ def forecast_metrics(spark, sf):
     with_(
         [*BASE,
          f"fc AS (SELECT customer_id, brand, week, m AS model_uri, prediction * f AS prediction FROM prod_rows, (VALUES ('models:/naive/1', 1.0), ('models:/naive/2', 0.9)) AS v(m, f))".replace("prod_rows", f"(SELECT * FROM grouped WHERE week >= {SPLIT_WEEK})"),
-         f"sales AS (SELECT customer_id, brand, week, y AS actual FROM panel WHERE week >= {SPLIT_WEEK} AND y > 10)",
+         f"sales AS (SELECT customer_id, brand, week, y AS actual FROM panel WHERE week >= {SPLIT_WEEK})",
          """paired AS (SELECT fc.customer_id, fc.brand, fc.week, model_uri, COALESCE(actual, 0) AS actual, prediction FROM fc LEFT JOIN sales USING (customer_id, brand, week)
               UNION ALL SELECT s.customer_id, s.brand, s.week, m, actual, 0 FROM sales s CROSS JOIN (SELECT DISTINCT model_uri AS m FROM fc) x
               WHERE NOT EXISTS (SELECT 1 FROM fc WHERE fc.customer_id = s.customer_id AND fc.brand = s.brand AND fc.week = s.week))"""],
@@ -432,16 +432,15 @@ def forecast_metrics(spark, sf):
     "actual prediction wape",
 )
 def forecast_vs_sales(spark, sf):
-    """Two forecasts against sales above 10 units, unforecast sales counted against both."""
+    """Two forecasts against all sales; sales of weeks that follow no sale have no forecast and count against both."""
     rows = production(grouped(spark, sf)).select(*ROW_IDS, "prediction")
     models = F.array(*[F.struct(F.lit(m).alias("u"), F.lit(f).alias("f")) for m, f in (("models:/naive/1", 1.0), ("models:/naive/2", 0.9))])
     fc = rows.withColumn("m", F.explode(models)).select(*ROW_IDS, F.col("m.u").alias("model_uri"), (F.col("prediction") * F.col("m.f")).alias("prediction"))
-    sales = production(weekly_sales(spark, sf)).where("y > 10").withColumnRenamed("y", "actual")
-    both = pf.forecast_vs_sales(cut(fc), sales, ROW_IDS)
-    return both.groupBy("week", "model_uri").agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("actual").alias("actual"), F.sum("prediction").alias("prediction"),
-        (F.sum(F.abs(F.col("actual") - F.col("prediction"))) / F.greatest(F.sum(F.abs("actual")), F.lit(1e-10))).alias("wape"),
-    )
+    sales = production(weekly_sales(spark, sf)).withColumnRenamed("y", "actual")
+    both = pf.forecast_vs_sales_sums(cut(fc), sales, ROW_IDS, ["week"])
+    return both.select(
+        "week", "model_uri", "row_count", "actual", "prediction", (F.col("absolute_error") / F.greatest("absolute_actual", F.lit(1e-10))).alias("wape")
+    )
 
 
 @query(
@@ -461,12 +460,12 @@ def distribution_compare(spark, sf):
 @query(
     "paired_actuals",
     with_(
-        [*BASE, "actuals AS (SELECT customer_id, week, SUM(y) AS actual FROM panel WHERE y > 20 GROUP BY 1, 2)"],
+        [*BASE, "actuals AS (SELECT customer_id, week, SUM(y) AS actual FROM panel GROUP BY 1, 2)"],
         "SELECT customer_id, brand, week, prediction, COALESCE(actual, 0) AS actual FROM grouped LEFT JOIN actuals USING (customer_id, week)",
     ),
     "prediction actual",
 )
 def paired_actuals(spark, sf):
-    """Forecasts with actuals that lack the product key: each actual meets every product row, a missing one is 0."""
-    actuals = weekly_sales(spark, sf).where("y > 20").groupBy("customer_id", "week").agg(F.sum("y").alias("actual"))
+    """Forecasts with actuals that lack the product key: each actual meets every product row."""
+    actuals = weekly_sales(spark, sf).groupBy("customer_id", "week").agg(F.sum("y").alias("actual"))
     return pf.pair_actuals(grouped(spark, sf).select(*ROW_IDS, "prediction"), actuals, ["customer_id", "week"], "actual", "left")

@@ -104,7 +104,7 @@ def first_k_per_key(spark, sf):
 
 def _records(spark, sf, version: str) -> DataFrame:
     scored = production(grouped(spark, sf))
-    return sc.prediction_records(scored, "naive", version, SEG, ["customer_id", "brand"], loaded_at=F.lit("2001-12-31").cast("timestamp"))
+    return sc.prediction_records(scored, "naive", version, SEG, ["customer_id", "brand"], unit="UNIT", loaded_at=F.lit("2001-12-31").cast("timestamp"))
 
 
 @query(
@@ -113,7 +113,7 @@ def _records(spark, sf, version: str) -> DataFrame:
         BASE,
         f"""SELECT sha256('naive||v1||' || week || '||' || customer_id || '||' || brand || '||' || stats_group) AS record_id, 'naive' AS model_name,
              'v1' AS model_version, CAST(customer_id AS VARCHAR) AS customer_id, CAST(week AS VARCHAR) AS week, 'stats_group' AS partition_col,
-             CAST(CAST(make_date(CAST(week // 100 AS INTEGER), 1, 1) + 7 * CAST(week % 100 - 1 AS INTEGER) AS DATE) AS VARCHAR) AS data_date, prediction, 'MXBEB' AS bkcc,
+             CAST(CAST(make_date(CAST(week // 100 AS INTEGER), 1, 1) + 7 * CAST(week % 100 - 1 AS INTEGER) AS DATE) AS VARCHAR) AS data_date, prediction, 'UNIT' AS bkcc,
              strftime(make_date(CAST(week // 100 AS INTEGER), 1, 1) + 7 * CAST(week % 100 - 1 AS INTEGER), '%Y%m') AS calmonth
            FROM grouped WHERE week >= {SPLIT_WEEK}""",
     ),
@@ -217,12 +217,47 @@ def best_trial(spark, sf):
     return tr.best_trial(_trials(spark, sf), SEG)
 
 
-@query("random_trial_search")
+TWO = ["w_m1_total", "sum_past_4_weeks"]
+DRAWN = tr.draw_trials(TWO)
+#: ridge regression on one or two features in closed form, from centred sums
+TWO_TRIALS = f"""halves AS (SELECT stats_group, w_m1_total AS x1, sum_past_4_weeks AS x2, y, {BUCKET} < 20 AS is_test FROM grouped),
+draws(trial, ridge, u1, u2) AS (VALUES {", ".join(f"({t['trial']}, CAST({t['ridge']!r} AS DOUBLE), {int(0 in t['features'])}, {int(1 in t['features'])})" for t in DRAWN)}),
+sums AS (SELECT stats_group, COUNT(*) AS n, AVG(x1) AS m1, AVG(x2) AS m2, AVG(y) AS my, regr_sxx(y, x1) AS s11, regr_sxx(y, x2) AS s22, regr_sxy(x2, x1) AS s12,
+  regr_sxy(y, x1) AS s1, regr_sxy(y, x2) AS s2 FROM halves WHERE NOT is_test GROUP BY 1),
+slopes AS (SELECT *, CASE WHEN u1 = 0 THEN 0 WHEN u2 = 0 THEN s1 / (s11 + ridge) ELSE ((s22 + ridge) * s1 - s12 * s2) / ((s11 + ridge) * (s22 + ridge) - s12 * s12) END AS b1,
+  CASE WHEN u2 = 0 THEN 0 WHEN u1 = 0 THEN s2 / (s22 + ridge) ELSE ((s11 + ridge) * s2 - s12 * s1) / ((s11 + ridge) * (s22 + ridge) - s12 * s12) END AS b2 FROM sums, draws)"""
+
+
+@query(
+    "random_trial_search",
+    with_([*BASE, TWO_TRIALS], "SELECT s.stats_group, trial, n AS sample_size, COUNT(*) AS validation_size, SQRT(AVG(POWER(y - my - b1 * (x1 - m1) - b2 * (x2 - m2), 2))) AS val_rmse FROM slopes s JOIN halves h ON h.stats_group = s.stats_group AND h.is_test GROUP BY 1, 2, 3"),
+    "val_rmse",
+)
 def random_trial_search(spark, sf):
-    """Random search over penalties and feature subsets (15 draws) per group; no SQL: it solves small linear systems."""
-    names = ["w_m1_total", "w_m2_total", "w_m3_total", "w_m4_total", "sum_past_4_weeks", "avg_past_12_weeks"]
-    rows = sp.random_split(grouped(spark, sf), ROW_IDS)
-    return tr.trial_search(rows, SEG, names, "y", tr.draw_trials(names))
+    """Random search over penalties and subsets of two features (15 draws) per group."""
+    return tr.trial_search(sp.random_split(grouped(spark, sf), ROW_IDS), SEG, TWO, "y", DRAWN).drop("params")
+
+
+@query("unsearched_segments", with_(BASE, "SELECT CAST(customer_id AS VARCHAR) AS customer_id, COUNT(*) AS n_rows, COUNT(*) FILTER (week < 200001) AS sample_size, CASE WHEN COUNT(*) < 400 THEN 'rows' WHEN COUNT(*) FILTER (week < 200001) < 300 THEN 'sample' END AS reason FROM grouped GROUP BY 1 HAVING reason IS NOT NULL"))
+def unsearched_segments(spark, sf):
+    """Outlets with too few rows, or too few of them to fit on, for a search."""
+    rows = grouped(spark, sf).withColumns({"is_test": F.col("week") >= SPLIT_WEEK, "customer_id": F.col("customer_id").cast("string")})
+    return tr.unsearched_segments(rows, "customer_id", "y", min_rows=400, min_sample=300)
+
+
+TWO_FIT = """two AS (SELECT stats_group, COUNT(*) AS n_rows, AVG(x1) AS m1, AVG(x2) AS m2, AVG(y) AS my, regr_sxx(y, x1) AS s11, regr_sxx(y, x2) AS s22, regr_sxy(x2, x1) AS s12,
+  regr_sxy(y, x1) AS s1, regr_sxy(y, x2) AS s2 FROM (SELECT stats_group, w_m1_total AS x1, sum_past_4_weeks AS x2, y FROM grouped) GROUP BY 1),
+solved AS (SELECT *, (s22 * s1 - s12 * s2) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2 - s12 * s1) / (s11 * s22 - s12 * s12) AS b2 FROM two)"""
+
+
+@query("grouped_fit_two", with_([*BASE, TWO_FIT], "SELECT stats_group, n_rows, b1, b2, my - b1 * m1 - b2 * m2 AS intercept FROM solved WHERE s11 * s22 - s12 * s12 > 1e-6 * s11 * s22"), "b1 b2 intercept")
+def grouped_fit_two(spark, sf):
+    """Fits of two features; groups whose features are collinear have no unique fit and are not shown."""
+    rows = cut(grouped(spark, sf))
+    fitted = tr.grouped_fit(rows, SEG, TWO, "y")
+    spread = rows.groupBy(SEG).agg((1 - F.pow(F.corr(*TWO), 2)).alias("apart")).where("apart > 1e-6")
+    slope = lambda i: F.get("coefficients", F.lit(i)).alias(f"b{i + 1}")
+    return fitted.join(spread, SEG).select(SEG, "n_rows", slope(0), slope(1), "intercept")
 
 
 @query(
@@ -261,12 +296,11 @@ def scoring_batches(spark, sf):
 
 @query(
     "assigned_groups",
-    with_(BASE, "SELECT p.customer_id, p.brand, p.week, g.last_group FROM panel p LEFT JOIN (SELECT customer_id, brand, arg_max(stats_group, week) AS last_group FROM grouped WHERE brand <> 'PROMO' GROUP BY 1, 2) g USING (customer_id, brand)"),
+    with_(BASE, "SELECT p.customer_id, p.brand, p.week, g.last_group FROM panel p LEFT JOIN (SELECT customer_id, brand, arg_max(stats_group, week) AS last_group FROM grouped GROUP BY 1, 2) g USING (customer_id, brand)"),
 )
 def assigned_groups(spark, sf):
-    """Every series row with the group its series was last in; series of one brand are unmapped."""
-    rows = grouped(spark, sf).where("brand <> 'PROMO'")
-    mapping = rows.groupBy("customer_id", "brand").agg(F.max_by(SEG, "week").alias("last_group"))
+    """Every series row with the group its series was last in; series that never sold in a row are unmapped."""
+    mapping = grouped(spark, sf).groupBy("customer_id", "brand").agg(F.max_by(SEG, "week").alias("last_group"))
     return sc.assign_groups(weekly_sales(spark, sf).select(*ROW_IDS), mapping, ["customer_id", "brand"], "last_group")
 
 
@@ -463,7 +497,7 @@ def feature_as_of(spark, sf):
 
 @query("feature_runs", with_([STORE], "SELECT b.batch_id, 'PROCESSED' AS status, b.n AS source_rows, h.n AS feature_rows FROM (SELECT batch_id, COUNT(*) AS n FROM batched GROUP BY 1) b JOIN (SELECT batch_id, COUNT(*) AS n FROM hist GROUP BY 1) h USING (batch_id)"))
 def feature_runs(spark, sf):
-    return spark.read.parquet(f"{_store(spark, sf)}/runs").drop("finished_at")
+    return spark.read.parquet(f"{_store(spark, sf)}/runs").drop("finished_at", "folder")
 
 
 # --- events: monitors, streams, reports -------------------------------------------------------------------------------------------
@@ -563,15 +597,16 @@ def last_periods(spark, sf):
 
 @query(
     "text_keys",
-    """SELECT p_brand, CAST(regexp_extract(p_brand, '[0-9]+') AS INTEGER) AS brand_number, 0.0::DOUBLE AS as_number, COUNT(*) AS row_count,
-         SUM(p_size)::BIGINT AS sizes FROM part GROUP BY 1""",
+    """SELECT t AS text, TRY_CAST(regexp_extract(t, '[0-9]+') AS INTEGER) AS first_number, COALESCE(TRY_CAST(t AS DOUBLE), 0) AS as_number, COUNT(*) AS row_count
+         FROM (SELECT UNNEST([p_brand, CAST(p_size AS VARCHAR), CAST(p_size / 4 AS VARCHAR), regexp_extract(p_type, '[A-Z]+')]) AS t FROM part) GROUP BY 1""",
+    "as_number",
 )
 def text_keys(spark, sf):
-    """Numbers read out of texts: the brand's digits, and a text that is no number as 0."""
+    """Numbers read out of texts of which some are numbers: first run of digits, and the whole as a number or else 0."""
     part = spark.read.parquet(f"{sf}/part.parquet")
-    return part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("row_count"), F.sum("p_size").alias("sizes")).select(
-        "p_brand", first_number("p_brand").alias("brand_number"), number_or_zero("p_brand").alias("as_number"), "row_count", "sizes"
-    )
+    texts = F.array("p_brand", F.col("p_size").cast("string"), (F.col("p_size") / 4).cast("string"), F.regexp_extract("p_type", "[A-Z]+", 0))
+    counts = part.select(F.explode(texts).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select("text", first_number("text").alias("first_number"), number_or_zero("text").alias("as_number"), "row_count")
 
 
 @query("json_params", "SELECT event_type, COUNT(*) AS row_count, SUM(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS total FROM events GROUP BY 1")

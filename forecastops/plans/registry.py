@@ -105,25 +105,21 @@ grouped AS (
 
 BASE = [TX, PANEL, FEATURES, GROUPED]
 
-SIX = """recent AS (SELECT *, CAST(date_trunc('week', tx_date) AS DATE) AS wk FROM tx, last_day WHERE tx_date >= d - 56),
-last4 AS (SELECT DISTINCT wk FROM recent WHERE tx_date >= d - 28 ORDER BY wk DESC LIMIT 4),
-weekly AS (SELECT customer_id, wk, SUM(units) AS u FROM recent GROUP BY 1, 2),
-scaffold AS (
-  SELECT c.c_custkey AS customer_id, w.wk, COALESCE(p.u, 0) AS u, CASE WHEN p.u > 0 THEN 1 ELSE 0 END AS bought
-  FROM customer c CROSS JOIN last4 w LEFT JOIN weekly p ON p.customer_id = c.c_custkey AND p.wk = w.wk),
-six_totals AS (
-  SELECT customer_id, SUM(u) AS total_units_4w, CAST(SUM(bought) AS INTEGER) AS weeks_with_purchase,
-         string_agg(CAST(bought AS VARCHAR), '' ORDER BY wk) AS purchase_pattern
-  FROM scaffold GROUP BY 1),
-six_ranked AS (
-  SELECT *, CAST(NTILE(4) OVER (ORDER BY total_units_4w, customer_id) AS INTEGER) AS volume_quartile FROM six_totals),
+#: per customer, the units of each of the newest four selling weeks; the segment follows from how many of them sold and
+#: from the quarter of all customers that the sum falls into
+SIX = """newest AS (
+  SELECT list_sort(list_distinct(list(tx_date - CAST(isodow(tx_date) - 1 AS INTEGER))))[-4:] AS mondays FROM tx, last_day WHERE tx_date BETWEEN d - 28 AND d),
+amounts AS (
+  SELECT c_custkey AS customer_id, list_transform(range(1, len(any_value(mondays)) + 1), lambda i: coalesce(list_sum(list_filter(
+           list_transform(list((tx_date, units)), lambda t: CASE WHEN t[1] - CAST(isodow(t[1]) - 1 AS INTEGER) = any_value(mondays)[i] THEN t[2] END), lambda u: u IS NOT NULL)), 0)) AS sold
+  FROM customer CROSS JOIN newest LEFT JOIN (SELECT * FROM tx, last_day WHERE tx_date >= d - 56) t ON t.customer_id = c_custkey GROUP BY 1),
+signs AS (
+  SELECT customer_id, coalesce(list_sum(sold), 0) AS total_units_4w, CAST(len(list_filter(sold, lambda u: u > 0)) AS INTEGER) AS weeks_with_purchase,
+         array_to_string(list_transform(sold, lambda u: CAST(CAST(u > 0 AS INTEGER) AS VARCHAR)), '') AS purchase_pattern FROM amounts),
+quarters AS (SELECT *, CAST(ntile(4) OVER (ORDER BY total_units_4w, customer_id) AS INTEGER) AS volume_quartile FROM signs),
 six AS (
-  SELECT *, CASE WHEN weeks_with_purchase = 4 AND volume_quartile = 4 THEN 'SEGMENT_1'
-    WHEN weeks_with_purchase = 4 AND volume_quartile = 3 THEN 'SEGMENT_2'
-    WHEN weeks_with_purchase IN (2, 3) AND volume_quartile IN (3, 4) THEN 'SEGMENT_3'
-    WHEN weeks_with_purchase IN (2, 3) AND volume_quartile IN (1, 2) THEN 'SEGMENT_4'
-    WHEN weeks_with_purchase = 1 THEN 'SEGMENT_5' ELSE 'SEGMENT_6' END AS segment
-  FROM six_ranked)"""
+  SELECT *, 'SEGMENT_' || CASE weeks_with_purchase WHEN 0 THEN 6 WHEN 1 THEN 5 WHEN 4 THEN CASE volume_quartile WHEN 4 THEN 1 WHEN 3 THEN 2 ELSE 6 END
+    ELSE CASE WHEN volume_quartile > 2 THEN 3 ELSE 4 END END AS segment FROM quarters)"""
 
 #: first production week; earlier weeks are the baseline
 SPLIT_WEEK = 200001

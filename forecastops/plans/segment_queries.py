@@ -123,10 +123,10 @@ def null_profile(spark, sf):
     "target_distribution",
     with_(
         [TX, PANEL],
-        """SELECT COUNT(*) AS total_records, MIN(y) AS min_value, MAX(y) AS max_value, AVG(y) AS mean_value, STDDEV_SAMP(y) AS stddev_value,
-             quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median, quantile_cont(y, 0.75) AS q3 FROM panel""",
+        """SELECT UNNEST(['n', 'mean', 'sd', 'p0', 'p25', 'p50', 'p75', 'p100']) AS statistic,
+             UNNEST([CAST(COUNT(y) AS DOUBLE), AVG(y), STDDEV_SAMP(y), MIN(y), quantile_cont(y, 0.25), quantile_cont(y, 0.5), quantile_cont(y, 0.75), MAX(y)]) AS value FROM panel""",
     ),
-    "min_value max_value mean_value stddev_value q1 median q3",
+    "value",
 )
 def target_distribution(spark, sf):
     return qa.target_distribution(store(weekly_sales(spark, sf)), "y")
@@ -199,14 +199,13 @@ def dataset_comparison(spark, sf):
     "date_ranges",
     with_(
         [TX],
-        f"""SELECT CASE WHEN tx_date >= DATE '{INFERENCE_FROM}' THEN 'Inference Period' ELSE 'Historical Period' END AS period_type,
-             MIN(tx_date) AS start_date, MAX(tx_date) AS end_date, CAST(date_diff('day', MIN(tx_date), MAX(tx_date)) AS INTEGER) AS days_span,
-             COUNT(*) AS total_records FROM tx GROUP BY 1""",
+        f"""SELECT tx_date >= DATE '{INFERENCE_FROM}' AS part, COUNT(*) AS n_rows, MIN(tx_date) AS first_day, MAX(tx_date) AS last_day,
+             COUNT(DISTINCT tx_date) AS days_present, MAX(tx_date) - MIN(tx_date) + 1 - COUNT(DISTINCT tx_date) AS days_absent FROM tx GROUP BY 1""",
     ),
 )
 def date_ranges(spark, sf):
-    flag = F.when(F.col("tx_date") >= F.lit(INFERENCE_FROM).cast("date"), "Inference Period").otherwise("Historical Period")
-    return qa.date_ranges(transactions(spark, sf), flag, "tx_date")
+    """Coverage before and from the first day that is forecast."""
+    return qa.date_ranges(transactions(spark, sf), F.col("tx_date") >= F.lit(INFERENCE_FROM).cast("date"), "tx_date")
 
 
 @query(
@@ -240,31 +239,30 @@ def schema_compat(spark, sf):
     return qa.schema_compat(train, inference, [*ROW_IDS, "Y"])
 
 
-def _cents(df):
-    return df.withColumn("total_revenue", F.round("total_revenue", 2))
-
-
 @query(
     "category_rollup",
-    with_([TX], "SELECT p_type AS category, COUNT(*) AS product_count, AVG(p_retailprice) AS avg_price, SUM(units) AS total_units_sold, ROUND(SUM(revenue), 2) AS total_revenue FROM part LEFT JOIN tx ON p_partkey = product_id GROUP BY 1"),
-    "avg_price total_units_sold",
+    with_(
+        [TX, "sold AS (SELECT product_id, SUM(units) AS u, SUM(revenue) AS r FROM tx GROUP BY 1)"],
+        """SELECT p_type AS category, COUNT(*) AS listed, COUNT(u) AS sold, (MIN(p_retailprice) + MAX(p_retailprice)) / 2 AS middle_price,
+             COALESCE(SUM(u), 0) AS units, SUM(r) / SUM(u) AS revenue_per_unit FROM part LEFT JOIN sold ON p_partkey = product_id GROUP BY 1""",
+    ),
+    "middle_price units revenue_per_unit",
 )
 def category_rollup(spark, sf):
-    return _cents(qa.category_rollup(transactions(spark, sf), products(spark, sf)))
+    return qa.category_rollup(transactions(spark, sf), products(spark, sf))
 
 
 @query(
     "yearly_summary",
     with_(
-        [TX, ROLLUP],
-        """SELECT CAST(year(week_start_date) AS INTEGER) AS year, COUNT(DISTINCT week_start_date) AS weeks_count, COUNT(DISTINCT customer_id) AS active_customers,
-             SUM(weekly_sales_units) AS total_units, ROUND(SUM(weekly_sales_revenue), 2) AS total_revenue, AVG(weekly_sales_units) AS avg_weekly_units
-           FROM rollup GROUP BY 1""",
+        [TX, ROLLUP, "sums AS (SELECT week_start_date AS w, COUNT(*) AS n, SUM(weekly_sales_units) AS u FROM rollup GROUP BY 1)"],
+        """SELECT CAST(year(w) AS INTEGER) AS year, SUM(n)::BIGINT AS customer_weeks, SUM(u) / SUM(n) AS units_per_customer_week,
+             arg_max(w, (u, -(w - DATE '1970-01-01'))) AS top_week FROM sums GROUP BY 1""",
     ),
-    "total_units avg_weekly_units",
+    "units_per_customer_week",
 )
 def yearly_summary(spark, sf):
-    return _cents(qa.yearly_summary(weekly_rollup(transactions(spark, sf), INFERENCE_FROM)))
+    return qa.yearly_summary(weekly_rollup(transactions(spark, sf), INFERENCE_FROM))
 
 
 @query(

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A side is broadcast only after counting it and finding at most this many rows.
+#: A side is broadcast only after counting it and finding at most this many rows, of this many bytes together.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "forecastops", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="forecastops-")
     context.setCheckpointDir(folder)
@@ -76,12 +80,29 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a count proves it small; otherwise leave the join strategy to Spark.
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: text and array lengths, 8 for anything else."""
+    sizes = []
+    for f in df.schema:
+        c, kind = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            sizes.append(F.octet_length(c))
+        elif isinstance(kind, (T.ArrayType, T.MapType)):
+            flat = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType)
+            sizes.append(F.size(c) * 8 if flat else F.octet_length(F.to_json(c)))
+        elif isinstance(kind, T.StructType):
+            sizes.append(F.octet_length(F.to_json(c)))
+    fixed = F.lit(8 * len(df.columns) + 8).cast("long")
+    return reduce(lambda a, b: a + b, [F.greatest(F.coalesce(s.cast("long"), F.lit(0)), F.lit(0)) for s in sizes], fixed)
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if its rows and bytes prove it small; otherwise leave the join strategy to Spark.
 
     Pass a frame that is cheap to evaluate twice, such as the result of :func:`cut`.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    some = df.limit(max_rows + 1).select(_row_bytes(df).alias("b")).agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
+    if some.n <= max_rows and (some.b or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -38,6 +38,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def register_view(df: DataFrame, name: str) -> str:
+    """Name of a session view on ``df`` for use in SQL; an earlier view of that name is replaced."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"no rows: {what}")

@@ -16,7 +16,7 @@ IDS = ["customer_id", "brand"]
 def _run(spark, root, rows, models):
     low, high, one = ["quarter"], ["sum_p4w", "avg_past_12_weeks"], SEGS[:1]
     features = rows.drop("prediction")
-    jobs.score(spark, root, features, models, "linear", "stats_group", COLUMNS, IDS)
+    jobs.score(spark, root, features, models, "linear", "stats_group", COLUMNS, IDS, unit="u")
     view = sc.prediction_view(jobs.read(spark, root, "predictions"), {"customer_id": "int", "brand": "string"}, "stats_group")
     view = view.join(rows.select("customer_id", "brand", "week", "cust_category"), ["customer_id", "brand", "week"])
     actuals = rows.select("customer_id", "brand", "week", "y")
@@ -26,14 +26,14 @@ def _run(spark, root, rows, models):
             spark, root, baseline(view.where(F.col("model_version") == v)), "linear", v, one, [], ["prediction"], predictions=True
         )
     keys = ["customer_id", "brand", "week"]
-    jobs.performance_baseline(spark, root, baseline(view), actuals, "linear", SEGS, "y", keys)
-    jobs.data_drift(spark, root, production(features), "linear", one, [*low, *high], min_week=200001)
-    jobs.prediction_drift(spark, root, "linear", one, production(view), min_week=200001)
-    jobs.performance(spark, root, production(view), actuals, "linear", SEGS, "y", keys, min_week=200001)
+    jobs.performance_baseline(spark, root, baseline(view), actuals, "linear", SEGS, "y", keys, unit="u")
+    jobs.data_drift(spark, root, production(features), "linear", one, [*low, *high], unit="u", min_week=200001)
+    jobs.prediction_drift(spark, root, "linear", one, production(view), unit="u", min_week=200001)
+    jobs.performance(spark, root, production(view), actuals, "linear", SEGS, "y", keys, unit="u", min_week=200001)
 
 
 def _cells(df):
-    return {(r["record_id"], round(r["metric_value"], 9)) for r in df.select("record_id", "metric_value").toLocalIterator()}
+    return {(r["record_id"], r["metric_value"] and round(r["metric_value"], 9)) for r in df.select("record_id", "metric_value").toLocalIterator()}
 
 
 def test_jobs_cover_all_combos_and_repeat_without_change(spark, sf, folder):
@@ -45,11 +45,12 @@ def test_jobs_cover_all_combos_and_repeat_without_change(spark, sf, folder):
     counts = {r["dataset"]: r["row_count"] for r in jobs.summary(spark, folder).collect()}
     n = rows.count()
     assert counts["predictions"] == n
-    # a week whose segments are all unknown to the baseline has no index
+    # a week whose segments are all unknown to the baseline has a row without value
     known = baseline(rows).select("stats_group").distinct()
     weeks = production(rows).join(known, "stats_group", "left_semi").select("week").distinct().count()
     psi = jobs.read(spark, folder, "drift").where(F.col("metric_col") == jobs.PSI)
-    assert psi.count() == weeks
+    assert psi.where("metric_value is not null").count() == weeks
+    assert psi.count() == production(rows).select("week").distinct().count()
     # bins of every week add up to the week's rows
     hist = jobs.read(spark, folder, "histograms").where("metric_col = 'jensen-shannon' and aggregated_col = 'stats_group' and model_version = 'v1'")
     per_feature = hist.groupBy(F.col("entity_map")["feature_name"].alias("f")).agg(F.sum("metric_map.bin_count").alias("n")).collect()
@@ -69,10 +70,10 @@ def test_new_weeks_only_give_the_same_as_all_at_once(spark, sf, folder):
         root = f"{folder}/{name}"
         for condition in parts:
             part = rows.where(condition)
-            jobs.score(spark, root, part.drop("prediction"), models, "linear", "stats_group", COLUMNS, IDS)
+            jobs.score(spark, root, part.drop("prediction"), models, "linear", "stats_group", COLUMNS, IDS, unit="u")
             for v in ("v1", "v2"):
                 jobs.drift_baseline(spark, root, baseline(part), "linear", v, ["stats_group"], [], ["sum_p4w"], exact=True)
-            jobs.data_drift(spark, root, production(part), "linear", ["stats_group"], ["sum_p4w"], min_week=200001)
+            jobs.data_drift(spark, root, production(part), "linear", ["stats_group"], ["sum_p4w"], unit="u", min_week=200001)
     steps, once = (_cells(jobs.read(spark, f"{folder}/{n}", "drift")) for n in ("steps", "once"))
     assert steps == once and steps
     predictions = jobs.read(spark, f"{folder}/once", "predictions")
