@@ -545,7 +545,9 @@ def daily_monitor_stream(spark, sf):
     root = _fresh(spark, "monitor")
     stream = mo.read_stream(spark, sf, "events.parquet")
     sums = mo.windowed_sums(_logged(stream, cut(_forecast_means(spark, sf))), "ts", "event_type", "value", "prediction", delay="1 day")
-    mo.land(sums, f"{root}/sums", f"{root}/checkpoint", ["window_start", "event_type"], ["event_type"])
+    # by day, so that a micro-batch reads and rewrites the days it touches only
+    sums = sums.withColumn("window_day", F.to_date("window_start"))
+    mo.land(sums, f"{root}/sums", f"{root}/checkpoint", ["window_start", "event_type", "window_day"], ["window_day"])
     return _by_day(mo.window_metrics(spark.read.parquet(f"{root}/sums"), "event_type"))
 
 
