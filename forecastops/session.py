@@ -101,7 +101,8 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = B
 
     Pass a frame that is cheap to evaluate twice, such as the result of :func:`cut`.
     """
-    some = df.limit(max_rows + 1).select(_row_bytes(df).alias("b")).agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
+    # only the sizes of the rows meet in one place, not the rows
+    some = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
     if some.n <= max_rows and (some.b or 0) <= max_bytes:
         return F.broadcast(df)
     return df
