@@ -180,10 +180,12 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = store(named.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("size")))
     reps = classes.select(F.col("rep").alias("id")).distinct()
     heads = named.join(reps, "id", "left_semi").dropDuplicates(["id", "digest"])
-    postings = heads.select("id", "n", F.size("head").alias("merged"), F.explode("head").alias("gram"))
+    # two n-grams of one document that share a number count once where numbers are compared
+    twice = F.size("head") - F.size(F.array_distinct("head"))
+    postings = heads.select("id", "n", F.size("head").alias("merged"), twice.alias("twice"), F.explode("head").alias("gram"))
     # inverted lists of two documents or more
     lists = postings.join(postings.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "gram")
-    lists = store(lists.select("gram", "id", "n", "merged", F.col("id").alias("comp")))
+    lists = store(lists.select("gram", "id", "n", "merged", "twice", F.col("id").alias("comp")))
     # a document of whose head most is shared is central to its near copies
     central = lists.groupBy("id").agg((F.count("*") / F.first("merged")).alias("shared"))
     lists = store(lists.join(central, "id"))
@@ -229,20 +231,21 @@ def _between_components(lists: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of different components that meet in as many merged lists as the similarity asks for.
 
     Of each list, the documents outside its largest component meet all others; a list within one component meets nothing.
+    A document carries the n-grams it has in lists of several components, at most its own head, so the number of lists a
+    pair shares is known where it first meets, and the pair is made there, once, or not at all.
     """
     sizes = lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
     major = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("major"), F.count("*").alias("comps"))
-    mixed = store(lists.join(major.filter("comps > 1"), "gram"))
-    # a document meets others in no more lists than it has among these, so most pairs are ruled out before they are made
-    mixed = mixed.join(mixed.groupBy("id").agg(F.count("*").alias("among")), "id")
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp", "among")]
+    mixed = store(lists.join(major.filter("comps > 1"), "gram").dropDuplicates(["gram", "id"]))
+    mixed = mixed.join(mixed.groupBy("id").agg(F.array_sort(F.collect_list("gram")).alias("grams")), "id")
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "twice", "comp", "grams")]
     minor = mixed.filter("comp != major").select("gram", *side("x"))
     every = mixed.select("gram", (F.col("comp") == F.col("major")).alias("is_major"), *side("y"))
     once = F.col("is_major") | (F.col("id_x") < F.col("id_y"))
     overlap = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
-    least = F.greatest(F.lit(1), overlap - F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y")))
-    fits = _fits(F.col("n_x"), F.col("n_y"), percent) & (F.least("among_x", "among_y") >= least)
-    met = minor.join(every, "gram").filter((F.col("comp_x") != F.col("comp_y")) & once & fits)
-    a, b = F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
-    counts = met.select(a, b, least.alias("least")).groupBy("a", "b").agg(F.count("*").alias("lists"), F.first("least").alias("least"))
-    return counts.filter("lists >= least").select("a", "b")
+    least = F.greatest(F.lit(1), overlap - F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y")) - F.col("twice_x") - F.col("twice_y"))
+    # cheap conditions come first: what follows the first that fails is not evaluated
+    possible = (F.col("comp_x") != F.col("comp_y")) & once & _fits(F.col("n_x"), F.col("n_y"), percent) & (F.least(F.size("grams_x"), F.size("grams_y")) >= least)
+    shared = F.array_intersect("grams_x", "grams_y")
+    met = minor.join(every, "gram").filter(possible & (F.size(shared) >= least) & (F.array_min(shared) == F.col("gram")))
+    return met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
