@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, quality_ratio, secret_scan, token_counts
+from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, periodic_runs, quality_ratio, secret_scan, token_counts
+from forecastops.llm.text import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +161,48 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_decontamination", PASSAGE_SQL)
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+RUNS_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)) AS c FROM documents),
+h AS (SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce(c, lambda r, x: list_reduce([xor(r, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))) AS h FROM d),
+a AS (SELECT doc_id, w, n, h % 10 = 0 AND n > 0 AS seeded, CASE WHEN n > 0 THEN (h // 10) % n END AS a, (h // 10) % 8 AS k FROM h),
+p AS (SELECT doc_id, n, CASE WHEN seeded THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + k)) END]) ELSE w END AS w FROM a),
+v AS (SELECT doc_id, n, w, list_transform(w, lambda x: hash(x)) AS v FROM p),
+l AS (SELECT doc_id, n, v, unnest(range(1, n // 4 + 1)) AS q FROM v),
+m AS (SELECT doc_id, q, list_append(list_prepend(0, list_filter(range(1, n - q + 1), lambda i: v[i] <> v[i + q])), n - q + 1) AS m FROM l),
+g AS (SELECT doc_id, q, unnest(m[:-2]) AS s, unnest(m[2:]) AS e FROM m),
+r AS (SELECT doc_id, s, e - s - 1 + q AS n, min(q) AS q FROM g WHERE e - s - 1 + q >= greatest(6, 4 * q) GROUP BY ALL),
+f AS (SELECT doc_id, count(*) AS n_runs, list({'s': s, 'n': n, 'q': q} ORDER BY n DESC, s, q) AS l, string_agg(concat_ws(',', s, n, q) || chr(10), '' ORDER BY s, q) AS t FROM r GROUP BY doc_id)
+SELECT v.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, l[1].s::BIGINT AS start, l[1].n::BIGINT AS length, l[1].q::BIGINT AS period, (1000 * l[1].n // l[1].q)::BIGINT AS exponent_milli,
+       sha256(coalesce(t, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN l IS NULL THEN w ELSE list_transform(list_filter(range(v.n), lambda i: len(list_filter(l, lambda x: i >= x.s + x.q AND i < x.s + x.n)) = 0), lambda i: w[i + 1]) END, ' ')) AS collapsed_sha256
+FROM v LEFT JOIN f USING (doc_id)
+"""
+
+
+@query("op13_periodic_runs", RUNS_SQL)
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the documents is made periodic from some word on, as fixed for this query; a document without id is not."""
+    docs = table(spark, folder, "documents").select("doc_id", words(F.col("text")).alias("w"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = F.when(n > 0, (g % n).cast("int")).alias("a")
+    docs = docs.select("doc_id", "w", "h", n.alias("n"), a, (g % 8).alias("k"))
+    period = F.col("n").cast("long")
+    docs = docs.withColumn("p", (1 + F.floor((period - F.col("a")) / (3 + F.col("k")))).cast("int"))
+    seeded = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n"), F.lit(1)) - 1), lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    text = F.array_join(F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), seeded).otherwise(F.col("w")), " ")
+    found = periodic_runs.periodic_runs(docs, "doc_id", text)
+    best = periodic_runs.longest(F.col("runs"))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.written(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
