@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, periodic_runs, quality_ratio, secret_scan, token_counts
+from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, part_codes, periodic_runs, quality_ratio, secret_scan, token_counts
 from forecastops.llm.text import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +207,34 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(periodic_runs.written(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+_ROUND_SQL = """
+a{r} AS MATERIALIZED (SELECT u.pos, u.x, any_value(u.n) AS n, arg_min(b.e, (list_sum(list_transform(list_zip(u.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e)) AS e,
+                 min(list_sum(list_transform(list_zip(u.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS error
+                 FROM u JOIN b{r} b USING (pos) GROUP BY u.pos, u.x)"""
+_BOOK_SQL = """
+s{r} AS (SELECT pos, e, k, (sum(n * x[k]) - ((sum(n * x[k]) % sum(n)) + sum(n)) % sum(n)) // sum(n) AS c FROM a{r}, range(1, 1 + (SELECT m FROM dims)) t(k) GROUP BY pos, e, k),
+b{next} AS MATERIALIZED (SELECT b.pos, b.e, coalesce(l.c, b.c) AS c FROM b{r} b LEFT JOIN (SELECT pos, e, list(c::BIGINT ORDER BY k) AS c FROM s{r} GROUP BY pos, e) l USING (pos, e))"""
+CODES_SQL = (
+    """
+WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+dims AS (SELECT max(len(v)) // 4 AS m FROM k),
+p AS MATERIALIZED (SELECT vec_id, label, pos, v[pos * m + 1:pos * m + m] AS x FROM k, dims, range(4) t(pos)),
+u AS MATERIALIZED (SELECT pos, x, count(*) AS n FROM p GROUP BY pos, x),
+b0 AS MATERIALIZED (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, x AS c FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 256)),"""
+    + ",".join(_ROUND_SQL.format(r=r) + ("," + _BOOK_SQL.format(r=r, next=r + 1) if r < 4 else "") for r in range(5))
+    + """,
+f AS (SELECT p.vec_id, any_value(p.label) AS label, string_agg(printf('%02x', a.e), '' ORDER BY p.pos) AS code, sum(a.error)::BIGINT AS error FROM p JOIN a4 a ON a.pos = p.pos AND a.x = p.x GROUP BY p.vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY pos, e)) FROM b4) AS codebooks_sha256 FROM f
+"""
+)
+
+
+@query("op11_part_codes", CODES_SQL)
+def op11_part_codes(spark: SparkSession, folder: str) -> DataFrame:
+    rows, books = part_codes.compress(table(spark, folder, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
