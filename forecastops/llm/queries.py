@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, part_codes, periodic_runs, quality_ratio, secret_scan, token_counts
+from forecastops.llm import archives, curriculum, decontamination, language_mixture, licences, ngram_jaccard, page_text, part_codes, periodic_runs, quality_ratio, repeated_strings, secret_scan, token_counts
 from forecastops.llm.text import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,3 +238,25 @@ def op11_part_codes(spark: SparkSession, folder: str) -> DataFrame:
     rows, books = part_codes.compress(table(spark, folder, "embeddings"))
     digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
     return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+REPEATS_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM d),
+h AS (SELECT doc_id, i, hash(substring(x, 2 * i + 1, 200)) AS h FROM s),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS nth FROM h) WHERE nth > 1),
+g AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM r),
+k AS (SELECT doc_id, i, sum(CASE WHEN gap <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM g),
+n AS (SELECT doc_id, span, min(i) AS a, max(i) + 100 AS z FROM k GROUP BY doc_id, span),
+l AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z FROM n GROUP BY doc_id)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN l.a IS NULL THEN x ELSE array_to_string(list_transform(range(0, len(l.a) + 1),
+         lambda k: substring(x, 2 * (CASE WHEN k = 0 THEN 0 ELSE l.z[k] END) + 1, 2 * (CASE WHEN k = len(l.a) THEN len(x) // 2 ELSE l.a[k + 1] END - CASE WHEN k = 0 THEN 0 ELSE l.z[k] END))), '') END)) AS kept_sha256
+FROM d LEFT JOIN l USING (doc_id)
+"""
+
+
+@query("op12_repeated_strings", REPEATS_SQL)
+def op12_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_strings.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
