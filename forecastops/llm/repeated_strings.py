@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecastops.llm.text import utf8
@@ -140,13 +140,28 @@ def shorter_runs(data: np.ndarray, bounds: np.ndarray, row: np.ndarray, packed:
         yield rows, _packed(first + at - bounds[rows], last - first, far[mine]), name, whole
 
 
-def _batch(batch: pa.RecordBatch, row: np.ndarray, packed: np.ndarray, name: np.ndarray, whole: np.ndarray) -> pa.RecordBatch:
-    picked = pa.array(row)
-    columns = [batch.column("doc").take(picked), batch.column("v").take(picked), pa.array(packed), pa.array(name.view(np.int64)), pa.array(whole.view(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, ["doc", "v", "at", "name", "whole"])
+def _batch(batch: pa.RecordBatch, found: Iterator[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Runs of a batch as rows. Those equal to an earlier run of the batch are marked, so that no group of copies is shuffled
+    whole."""
+    blocks = list(found) or [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))]
+    row, packed, name, whole = (np.concatenate(c) for c in zip(*blocks))
+    doc = batch.column("doc").to_numpy()[row]
+    order = np.lexsort((packed, doc, whole, name))
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (np.diff(name[order]) != 0) | (np.diff(whole[order]) != 0)
+    first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    copy = np.zeros(len(row), dtype=bool)
+    copy[order] = (doc[order] != doc[first]) | (packed[order] != packed[first])
+    columns = [pa.array(doc), batch.column("v").take(pa.array(row)), pa.array(packed), pa.array(name.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(copy)]
+    return pa.RecordBatch.from_arrays(columns, ["doc", "v", "at", "name", "whole", "copy"])
 
 
-_RUN = "doc long, v long, at long, name long, whole long"
+_RUN = "doc long, v long, at long, name long, whole long, copy boolean"
+
+
+def _repeated(names: DataFrame) -> DataFrame:
+    """Names that occur more than once, of (name, n)."""
+    return small_side(store(names.groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1").select("name")), max_rows=4_000_000)
 
 
 def _sampled(docs: DataFrame, length: int, size: int) -> DataFrame:
@@ -160,11 +175,9 @@ def _sampled(docs: DataFrame, length: int, size: int) -> DataFrame:
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for found in first_runs(*_bytes_of(batch.column("text")), length, size):
-                yield _batch(batch, *found)
+            yield _batch(batch, first_runs(*_bytes_of(batch.column("text")), length, size))
 
-    names = docs.select("text").mapInArrow(named, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    repeated = small_side(store(names.filter("n > 1").select("name")), max_rows=4_000_000)
+    repeated = _repeated(docs.select("text").mapInArrow(named, "name long, n long"))
     return store(docs.mapInArrow(cut_up, _RUN).join(repeated, "name", "left_semi"))
 
 
@@ -176,24 +189,23 @@ def _shortened(docs: DataFrame, runs: DataFrame, length: int, width: int) -> Dat
             lists = batch.column("ats")
             row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             packed = lists.flatten().to_numpy(zero_copy_only=False)
-            for found in shorter_runs(*_bytes_of(batch.column("text")), row, packed, length, width):
-                yield _batch(batch, *found)
+            yield _batch(batch, shorter_runs(*_bytes_of(batch.column("text")), row, packed, length, width))
 
     lists = store(runs.groupBy(F.col("doc").alias("of"), F.col("v").alias("ov")).agg(F.collect_list("at").alias("ats")))
     given = docs.join(small_side(lists, max_rows=4_000_000), (F.col("doc") == F.col("of")) & (F.col("v") == F.col("ov")))
     cut_runs = store(given.select("doc", "v", "text", "ats").mapInArrow(cut_up, _RUN))
-    repeated = cut_runs.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    return cut_runs.join(repeated, "name", "left_semi")
+    return cut_runs.join(_repeated(cut_runs.select("name", F.lit(1).cast("long").alias("n"))), "name", "left_semi")
 
 
 def _settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(copies, rest) of ``runs``: those equal as a whole to an earlier run, and others whose name has different runs."""
-    classes = store(runs.groupBy("name", "whole").agg(F.min(F.struct("doc", F.col("at"))).alias("first")))
-    several = classes.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    later = (F.col("doc") > F.col("first.doc")) | (F.col("at") > F.col("first.at"))
-    placed = store(runs.join(classes, ["name", "whole"]).withColumn("later", later).drop("first", "whole"))
-    rest = placed.filter(~F.col("later")).join(several, "name", "left_semi")
-    return placed.filter("later").select("doc", "v", "at"), rest.select("doc", "v", "at")
+    """(copies, rest) of the stored ``runs``: those equal as a whole to an earlier run, and others whose name has different
+    runs. A group holds one run of each batch at most, as the batches have marked the other copies."""
+    first = F.min(F.struct("doc", "at")).over(Window.partitionBy("name", "whole"))
+    placed = store(runs.filter("not copy").drop("copy").withColumn("first", first).withColumn("later", F.struct("doc", "at") > F.col("first")).drop("first"))
+    several = placed.filter("not later").groupBy("name").agg((F.min("whole") < F.max("whole")).alias("several")).filter("several").select("name")
+    copies = runs.filter("copy").select("doc", "v", "at").unionByName(placed.filter("later").select("doc", "v", "at"))
+    rest = placed.filter("not later").join(small_side(store(several), max_rows=4_000_000), "name", "left_semi")
+    return copies, rest.select("doc", "v", "at")
 
 
 def _cleaned(docs: DataFrame, length: int) -> DataFrame:
@@ -244,7 +256,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str | Col
         runs = store(_shortened(sized, rest, length, width))
         more, rest = _settled(runs)
         copies = copies.unionByName(more)
-    covers = copies.groupBy(F.col("doc").alias("of"), F.col("v").alias("ov")).agg(F.collect_set("at").alias("ats"))
+    covers = copies.groupBy(F.col("doc").alias("of"), F.col("v").alias("ov")).agg(F.collect_list("at").alias("ats"))
     covers = small_side(store(covers), max_rows=4_000_000)
     given = rows.join(covers, (F.col("doc") == F.col("of")) & (F.col("v") == F.col("ov")), "left")
     none = F.array().cast("array<bigint>")
