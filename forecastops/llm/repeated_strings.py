@@ -208,30 +208,39 @@ def _settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return copies, rest.select("doc", "v", "at")
 
 
-def _cleaned(docs: DataFrame, length: int) -> DataFrame:
-    """Rows (id, text, ats) as (id, n_bytes, n_removed, n_spans, kept)."""
+def _covered(copies: DataFrame, length: int) -> DataFrame:
+    """(of, ov, spans): starts and ends of the stretches that the strings of a document's copies cover, in order."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for ats in batch.column("ats"):
+                lo, size, _ = _unpacked(np.sort(np.asarray(ats.values)))
+                end = np.maximum.accumulate(lo + size + length)
+                new = np.flatnonzero(lo[1:] > end[:-1])
+                out.append(np.column_stack([lo[np.append(0, new + 1)], end[np.append(new, len(end) - 1)]]).ravel())
+            yield pa.RecordBatch.from_arrays([batch.column("of"), batch.column("ov"), pa.array(out, type=pa.list_(pa.int64()))], ["of", "ov", "spans"])
+
+    lists = copies.groupBy(F.col("doc").alias("of"), F.col("v").alias("ov")).agg(F.collect_list("at").alias("ats"))
+    return store(lists.mapInArrow(merge, "of long, ov long, spans array<bigint>"))
+
+
+def _cleaned(docs: DataFrame) -> DataFrame:
+    """Rows (id, text, spans) as (id, n_bytes, n_removed, n_spans, kept)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = _bytes_of(batch.column("text"))
-            lists = batch.column("ats")
-            ends, found = lists.offsets.to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
-            lo, size, _ = _unpacked(found)
-            removed, spans, kept = [], [], []
-            for i in range(len(lists)):
-                text, mine = data[bounds[i] : bounds[i + 1]], slice(ends[i] - ends[0], ends[i + 1] - ends[0])
-                if mine.start == mine.stop:
-                    removed.append(0), spans.append(0), kept.append(text.tobytes())
-                    continue
-                step = np.zeros(len(text) + 1, dtype=np.int32)
-                np.add.at(step, lo[mine], 1)
-                np.add.at(step, lo[mine] + size[mine] + length, -1)
-                gone = np.cumsum(step)[:-1] > 0
-                removed.append(int(gone.sum()))
-                spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                kept.append(text[~gone].tobytes())
-            numbers = [pa.array(np.asarray(v, dtype=np.int64)) for v in (np.diff(bounds), removed, spans)]
+            removed, kept = [], []
+            spans = batch.column("spans")
+            for i, found in enumerate(spans):
+                text, at = data[bounds[i] : bounds[i + 1]], np.asarray(found.values).reshape(-1, 2)
+                removed.append(int((at[:, 1] - at[:, 0]).sum()))
+                edges = [0, *at.ravel().tolist(), len(text)]
+                kept.append(b"".join(text[a:z].tobytes() for a, z in zip(edges[::2], edges[1::2])))
+            n_spans = np.diff(spans.offsets.to_numpy()) // 2
+            numbers = [pa.array(np.asarray(v, dtype=np.int64)) for v in (np.diff(bounds), removed, n_spans)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *numbers, pa.array(kept, type=pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return docs.mapInArrow(clean, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
@@ -256,8 +265,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str | Col
         runs = store(_shortened(sized, rest, length, width))
         more, rest = _settled(runs)
         copies = copies.unionByName(more)
-    covers = copies.groupBy(F.col("doc").alias("of"), F.col("v").alias("ov")).agg(F.collect_list("at").alias("ats"))
-    covers = small_side(store(covers), max_rows=4_000_000)
+    covers = small_side(_covered(copies, length), max_rows=4_000_000)
     given = rows.join(covers, (F.col("doc") == F.col("of")) & (F.col("v") == F.col("ov")), "left")
     none = F.array().cast("array<bigint>")
-    return _cleaned(given.select("id", "text", F.coalesce("ats", none).alias("ats")), length).withColumnRenamed("id", id_col)
+    return _cleaned(given.select("id", "text", F.coalesce("spans", none).alias("spans"))).withColumnRenamed("id", id_col)
