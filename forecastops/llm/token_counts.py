@@ -82,7 +82,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     ``tokenizer_path`` names a tokenizers JSON with a byte-level pre-tokenizer, present on every machine. Counts equal the
     library's without begin, end or other added special tokens; special strings inside a text count as one token each.
-    Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each; an empty table gives no rows. There is
+    Null and empty texts have 0 bytes and 0 tokens; a Spark string
+    holds no lone surrogates, so texts are valid Unicode; repeated rows are counted each; an empty table gives no rows. There is
     no shuffle: rows stay in their partition and only the counts leave it.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

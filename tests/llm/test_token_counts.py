@@ -22,7 +22,7 @@ def expected(library, text):
     return len(library.encode(text or "", add_special_tokens=False))
 
 
-@given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \n\t'’“”…€Жяs\x1c\x1f\x85\xa0"), st.characters()), max_size=40), max_size=6))
+@given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \n\t'’“”…€Жяs\x1c\x1f\x85\xa0"), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=6))
 @settings(max_examples=300, deadline=None)
 def test_block_counts_equal_the_library(texts):
     tokenizer = tc._library(PATH)[0]
