@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecastops.session import cut, lookup
+from forecastops.session import cut, lookup, store
 
 #: Up to this many distinct (group, value) pairs, running totals for exact quantiles come from one window per group. Beyond,
 #: they come from range partitions; what is done with them is the same.
@@ -83,9 +83,10 @@ def add_ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], tiles:
     """NTILE(tiles) per group in the given total order: a value, then ids that break its ties.
 
     Counts per (group, value) tell the tile of every value that lies in one tile; only rows whose value reaches into a
-    second tile are ranked by their ids. Full rows are neither sorted nor written. ``df`` is read up to three times.
+    second tile are ranked by their ids. Full rows are not sorted; they are written once, as they are read three times.
     """
     value, ids = order[0], list(order[1:])
+    df = store(df)
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
     placed = _placed(counts, group, [value])
     in_run = Window.partitionBy(*group, "_part").orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
