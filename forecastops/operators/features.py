@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forecastops.functions.calendar import day_of_week, iso_week, iso_week_monday, week_start
 from forecastops.operators.ranking import add_ntile
-from forecastops.session import cut
+from forecastops.session import cut, lookup
 
 # Season rules of the temporal and product views (months), and the activity levels (weeks with a
 # purchase, highest first).
@@ -202,18 +202,71 @@ def customer_view(tx: DataFrame, as_of: Column, days: int = 28) -> DataFrame:
     return _ranked_behaviour(_behaviour(_daily(window).withColumn("feature_ts", as_of)), [])
 
 
+def _exit(date: Column, days: int) -> Column:
+    """The first Monday whose look-back of ``days`` no longer covers ``date``."""
+    return F.date_add(week_start(F.date_add(date, days)), 7)
+
+
+def _look_back(tx: DataFrame, days: int) -> DataFrame:
+    """Behaviour of each customer at every Monday whose look-back is not empty, by entries and exits.
+
+    A week's days enter at the next Monday and leave at one of two later ones, so a customer has at most three events a week
+    whatever the length of the window. Running sums of events hold until the customer's next event. Amounts are summed in
+    whole millionths, so that what leaves takes away exactly what it brought.
+    """
+    sums = ("_revenue", "_n_revenue", "_units", "_n_units", "_days")
+    exact = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,6)")
+    daily = _daily(tx).withColumn("_days", F.lit(1)).withColumns({"_week": week_start("tx_date"), "_out": _exit(F.col("tx_date"), days)})
+    # the days of a week leave at the exit of its first day or a week later
+    late = F.col("_out") > _exit(F.col("_week"), days)
+    weekly = daily.groupBy("customer_id", "_week").agg(
+        *[F.sum(exact(c)).alias(c) for c in sums], *[F.sum(F.when(late, exact(c)).otherwise(F.lit(0).cast("decimal(38,6)"))).alias(f"{c}_late") for c in sums], F.max("tx_date").alias("_last")
+    )
+    first = _exit(F.col("_week"), days)
+    all_late = F.col("_days_late") > 0
+    event = lambda at, weeks, parts, last: F.struct(at.alias("feature_ts"), weeks.cast("int").alias("_weeks"), *[p.cast("decimal(38,6)").alias(c) for c, p in zip(sums, parts)], last.alias("_last"))
+    nothing = F.lit(None).cast("date")
+    events = F.array(
+        event(F.date_add("_week", 7), F.lit(1), [F.col(c) for c in sums], F.col("_last")),
+        event(first, F.when(all_late, 0).otherwise(-1), [F.col(f"{c}_late") - F.col(c) for c in sums], nothing),
+        event(F.date_add(first, 7), F.when(all_late, -1).otherwise(0), [-F.col(f"{c}_late") for c in sums], nothing),
+    )
+    moved = weekly.repartition("customer_id").select("customer_id", F.inline(events))
+    at = moved.groupBy("customer_id", "feature_ts").agg(*[F.sum(c).alias(c) for c in ("_weeks", *sums)], F.max("_last").alias("_last"))
+    in_order = Window.partitionBy("customer_id").orderBy("feature_ts")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    state = at.select(
+        "customer_id",
+        "feature_ts",
+        *[F.sum(c).over(upto).alias(c) for c in ("_weeks", *sums)],
+        F.max("_last").over(upto).alias("_last"),
+        F.lead("feature_ts").over(in_order).alias("_next"),
+    )
+    mondays = F.sequence(F.col("feature_ts"), F.date_sub("_next", 7), F.expr("INTERVAL 7 DAYS"))
+    held = state.where("_days > 0").withColumn("feature_ts", F.explode(mondays))
+    amount = lambda c: F.col(c).cast("double")
+    return held.select(
+        "customer_id",
+        "feature_ts",
+        F.try_divide(amount("_revenue"), amount("_n_revenue")).alias("mean_revenue"),
+        F.col("_weeks").cast("bigint").alias("active_weeks"),
+        F.datediff("feature_ts", "_last").alias("idle_days"),
+        F.when(F.col("_n_units") > 0, amount("_units")).alias("units_in_window"),
+        F.col("_days").cast("bigint").alias("active_days"),
+        F.try_divide(amount("_units"), amount("_n_units")).alias("mean_units"),
+    )
+
+
 def customer_view_pit(tx: DataFrame, days: int = 28) -> DataFrame:
-    """Customer behaviour at every week start that has transactions, from the ``days`` before that Monday.
+    """Customer behaviour at every week start that has transactions, from the ``days`` before that Monday, seven at least.
 
-    Transactions are summed per customer and day, and each day is handed to the few Mondays whose window covers it; there
-    is no range join. ``ts - days <= date < ts``.
+    ``ts - days <= date < ts``; amounts are exact to a millionth. The cost follows the customers' selling weeks and the rows
+    of the result, not the length of the window.
     """
-    daily = cut(_daily(tx))
-    first = F.date_add(week_start("tx_date"), 7)
-    covered = F.sequence(first, F.date_add("tx_date", days), F.expr("INTERVAL 7 DAYS"))
-    spine = daily.select(week_start("tx_date").alias("feature_ts")).distinct()
-    handed = daily.withColumn("feature_ts", F.explode(F.when(first <= F.date_add("tx_date", days), covered)))
-    return _ranked_behaviour(_behaviour(handed.join(spine, "feature_ts", "left_semi")), ["feature_ts"])
+    if days < 7:
+        raise ValueError("a look-back of less than a week leaves days out")
+    spine = lookup(tx.select(week_start("tx_date").alias("feature_ts")).distinct())
+    return _ranked_behaviour(_look_back(tx, days).join(spine, "feature_ts", "left_semi"), ["feature_ts"])
 
 
 def product_view(tx: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:

@@ -17,6 +17,8 @@ from forecastops.session import cut, lookup, store
 #: Up to this many distinct (group, value) pairs, running totals for exact quantiles come from one window per group. Beyond,
 #: they come from range partitions; what is done with them is the same.
 VALUE_PAIRS = 200_000
+#: Groups of up to this many rows are sorted as a whole where a window over the group is the shorter way.
+WINDOW_ROWS = 200_000
 
 
 def _placed(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -79,14 +81,18 @@ def tile_of(position: Column, size: Column, tiles: int) -> Column:
     return tile.cast("int")
 
 
-def add_ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], tiles: int, name: str) -> DataFrame:
+def add_ntile(df: DataFrame, group: Sequence[str], order: Sequence[str], tiles: int, name: str, *, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """NTILE(tiles) per group in the given total order: a value, then ids that break its ties.
 
-    Counts per (group, value) tell the tile of every value that lies in one tile; only rows whose value reaches into a
-    second tile are ranked by their ids. Full rows are not sorted; they are written once, as they are read three times.
+    If no group has more than ``window_rows`` rows, a window over each group answers. Otherwise counts per (group, value) tell the tile of every value that lies in one tile; only rows whose value reaches into a
+    second tile are ranked by their ids. Full rows are not sorted; they are written once, as they are read several times.
     """
     value, ids = order[0], list(order[1:])
     df = store(df)
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= window_rows:
+        within = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        return df.withColumn(name, F.ntile(tiles).over(within))
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
     placed = _placed(counts, group, [value])
     in_run = Window.partitionBy(*group, "_part").orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)

@@ -74,7 +74,7 @@ def test_ntile_equals_the_window(spark, group):
     rows += [("same", 5.0, 1000 + i) for i in range(50)] + [("few", float(i), 2000 + i) for i in range(3)]
     df = spark.createDataFrame(rows, "g string, v double, id int")
     want = df.withColumn("t", F.ntile(4).over((Window.partitionBy("g") if group else Window.partitionBy(F.lit(1))).orderBy("v", "id")))
-    got = rk.add_ntile(df, group, ["v", "id"], 4, "t")
+    got = rk.add_ntile(df, group, ["v", "id"], 4, "t", window_rows=0)
     assert {r.id: r.t for r in got.collect()} == {r.id: r.t for r in want.collect()}
 
 

@@ -23,17 +23,19 @@ def test_number_rows_equals_window(skewed):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("window_rows", [0, 500, 200_000])
 @pytest.mark.parametrize("tiles", [1, 4, 7, 500])
-def test_ntile_equals_window(skewed, tiles):
+def test_ntile_equals_window(skewed, tiles, window_rows):
     w = Window.partitionBy("g").orderBy("v", "id")
     want = skewed.withColumn("t", F.ntile(tiles).over(w))
-    got = add_ntile(skewed, ["g"], ["v", "id"], tiles, "t")
+    got = add_ntile(skewed, ["g"], ["v", "id"], tiles, "t", window_rows=window_rows)
     rows = lambda df: sorted((r["id"], r["t"]) for r in df.collect())
     assert rows(got) == rows(want)
 
 
-def test_ungrouped_ntile(skewed):
-    counts = {r["t"]: r["count"] for r in add_ntile(skewed, [], ["v", "id"], 7, "t").groupBy("t").count().collect()}
+@pytest.mark.parametrize("window_rows", [0, 200_000])
+def test_ungrouped_ntile(skewed, window_rows):
+    counts = {r["t"]: r["count"] for r in add_ntile(skewed, [], ["v", "id"], 7, "t", window_rows=window_rows).groupBy("t").count().collect()}
     assert counts == {1: 429, 2: 429, 3: 429, 4: 429, 5: 428, 6: 428, 7: 428}
 
 
