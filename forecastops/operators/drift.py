@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecastops.operators.histograms import bin_edges, category_shares, histogram
+from forecastops.operators.joins import null_safe_join
 
 EPS = 1e-10
 # Fixed values: (warning, critical) limits, compared strictly.
@@ -43,28 +44,24 @@ def psi(
     """Population stability index of each time's segment shares against the baseline's mean shares.
 
     ``missing="ignore"`` leaves out segments present on one side only; ``"zero"`` counts them with share 0. ``keys`` are
-    the columns shared by both sides besides the segment (the model version).
+    the columns shared by both sides besides the segment (the model version). A null segment is one like any other.
     """
     means = baseline_shares(base, seg, keys)
     if missing == "zero":
         cells = production.select(*time).distinct()
-        wanted = cells.join(means.select(*keys, seg), list(keys)) if keys else _each(cells, means, seg)
-        rows = (
-            wanted.unionByName(production.select(*time, seg))
-            .distinct()
-            .join(production, [*time, seg], "left")
-            .join(means, [*keys, seg], "left")
-        )
+        wanted = null_safe_join(cells, means.select(*keys, seg), list(keys)) if keys else _each(cells, means, seg)
+        wanted = wanted.unionByName(production.select(*time, seg)).distinct()
+        rows = null_safe_join(null_safe_join(wanted, production.select(*time, seg, "bin_prop"), [*time, seg], "left"), means, [*keys, seg], "left")
     else:
-        rows = production.join(means, [*keys, seg])
+        rows = null_safe_join(production, means, [*keys, seg])
     q, p = _floor(F.col("bin_prop")), _floor(F.col("base_prop"))
     out = rows.groupBy(*time).agg(F.sum((q - p) * F.ln(q / p)).alias("psi"))
     return out.withColumn("alert_level", threshold_alert("psi", limits))
 
 
 def _each(cells: DataFrame, means: DataFrame, seg: str) -> DataFrame:
-    segments = means.agg(F.collect_set(seg)).scalar()
-    return cells.withColumn(seg, F.explode(segments))
+    segments = means.agg(F.collect_set(F.struct(F.col(seg).alias("s")))).scalar()
+    return cells.withColumn("_seg", F.explode(segments)).select("*", F.col("_seg.s").alias(seg)).drop("_seg")
 
 
 def bin_probabilities(hist: DataFrame, time: Sequence[str], dims: Sequence[str]) -> DataFrame:
@@ -89,8 +86,8 @@ def paired_bins(
     """
     q = bin_probabilities(production, time, dims).select(*time, *dims, "bin", F.col("prob").alias("q"))
     p = baseline_probabilities(base, base_time, dims, keys)
-    cells = q.select(*time, *dims).distinct().join(p, [*keys, *dims])
-    return cells.join(q, [*time, *dims, "bin"], "full").select(
+    cells = null_safe_join(q.select(*time, *dims).distinct(), p, [*keys, *dims])
+    return null_safe_join(cells, q, [*time, *dims, "bin"], "full").select(
         *time, *dims, "bin", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("q", F.lit(0.0)).alias("q")
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecastops.operators.joins import null_safe_join
 from forecastops.operators.ranking import quantiles
 from forecastops.session import cut, small_side
 
@@ -140,13 +141,13 @@ def histogram(
 
     ``seg`` is one column or several. Each input row meets one row of edges (its segment's) and is folded into bin counts
     on the map side; neither raw nor exploded rows are shuffled, unless the edges are too large to be broadcast. ``edges``
-    is read three times: a stored or otherwise cheap frame.
+    is read three times: a stored or otherwise cheap frame. A null segment or time is one like any other.
     """
     seg = _names(seg)
     per_segment = small_side(
         edges.groupBy(*seg).agg(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_e_{c}") for c in columns])
     )
-    binned = df.select(*time, *seg, *columns).join(per_segment, seg)
+    binned = null_safe_join(df.select(*time, *seg, *columns), per_segment, seg)
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), bin_of(F.col(c), F.col(f"_e_{c}")).alias("bin")) for c in columns])
     counts = (
         binned.select(*time, *seg, F.explode(cells).alias("c"))
@@ -158,7 +159,7 @@ def histogram(
     scaffold = edges_to_bins(edges, seg).withColumn("t", F.explode(times)).select(
         *[F.col(f"t.{c}").alias(c) for c in time], *seg, "feature", "bin", "bin_low", "bin_high"
     )
-    return scaffold.join(counts, [*time, *seg, "feature", "bin"], "left").na.fill(0, ["bin_count"])
+    return null_safe_join(scaffold, counts, [*time, *seg, "feature", "bin"], "left").na.fill(0, ["bin_count"])
 
 
 def unmonitored(production: DataFrame, seg: str, columns: Sequence[str], edges: DataFrame) -> DataFrame:

@@ -8,6 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of both sides with null equal to null; each key stands once in the result."""
+    other = right.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    joined = left.join(other, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in keys], how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    if how == "full":
+        # a row of one side has null in all keys of the other
+        joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"_on_{k}")) for k in keys})
+    return joined.drop(*[f"_on_{k}" for k in keys])
+
+
 def asof_join(
     spine: DataFrame,
     features: DataFrame,

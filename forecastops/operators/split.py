@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecastops.functions.keys import stable_bucket
+from forecastops.operators.joins import null_safe_join
 from forecastops.operators.ranking import number_rows, quantiles
 from forecastops.session import lookup
 
@@ -38,7 +39,7 @@ def holdout_thresholds(df: DataFrame, seg: str, week: str, frac: float = 0.1) ->
 
     The window runs over (segment, week) counts, so its groups are as long as the calendar whatever the row count.
     """
-    counts = df.where(F.col(seg).isNotNull()).groupBy(seg, week).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(seg, week).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(seg)
     running = F.sum("_n").over(w.orderBy(week).rowsBetween(Window.unboundedPreceding, 0))
     share = counts.withColumn("_share", running / F.sum("_n").over(w))
@@ -48,13 +49,13 @@ def holdout_thresholds(df: DataFrame, seg: str, week: str, frac: float = 0.1) ->
 def clean_and_holdout(
     df: DataFrame, seg: str, week: str, ids: Sequence[str], y: str, frac: float = 0.1, p: float = 0.99, *, exact: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, holdout) of the cleaned rows: up to each segment's cut-off week, and after it.
+    """(train, holdout) of the cleaned rows: up to each segment's cut-off week, and after it; a null segment is one too.
 
     The rows are read once for the quantile, once for the weekly counts and once per result: pass a stored frame.
     """
     cleaned = clean(df, [*ids, week], y, p, exact=exact)
     cuts = lookup(holdout_thresholds(cleaned, seg, week, frac))
-    joined = cleaned.join(cuts, seg)
+    joined = null_safe_join(cleaned, cuts, [seg])
     return (
         joined.where(F.col(week) <= F.col("cutoff_week")).drop("cutoff_week"),
         joined.where(F.col(week) > F.col("cutoff_week")).drop("cutoff_week"),

@@ -469,3 +469,19 @@ def paired_actuals(spark, sf):
     """Forecasts with actuals that lack the product key: each actual meets every product row."""
     actuals = weekly_sales(spark, sf).groupBy("customer_id", "week").agg(F.sum("y").alias("actual"))
     return pf.pair_actuals(grouped(spark, sf).select(*ROW_IDS, "prediction"), actuals, ["customer_id", "week"], "actual", "left")
+
+
+@query(
+    "null_segment_drift",
+    with_(
+        [*DRIFT, f"j AS (SELECT week, NULLIF(stats_group, 'group_stat_1') AS stats_group, feature, {JSD} AS js_distance FROM cells WHERE feature <> 'prediction' GROUP BY ALL)"],
+        f"SELECT *, {_alert('js_distance', 0.2, 0.45)} FROM j",
+    ),
+    "js_distance",
+)
+def null_segment_drift(spark, sf):
+    """Drift per group where one group has no name: it is binned, counted and compared like the others."""
+    rows = store(stored_groups(spark, sf).withColumn(SEG, F.nullif(F.col(SEG), F.lit("group_stat_1"))))
+    edges = hi.bin_edges(baseline(rows), SEG, LOW, HIGH, exact=True)
+    hist = store(hi.histogram(rows, ["week"], SEG, [*LOW, *HIGH], edges))
+    return dr.js_distance(production(hist), baseline(hist), ["week"], [SEG, "feature"])
