@@ -211,20 +211,21 @@ def _look_back(tx: DataFrame, days: int) -> DataFrame:
     """Behaviour of each customer at every Monday whose look-back is not empty, by entries and exits.
 
     A week's days enter at the next Monday and leave at one of two later ones, so a customer has at most three events a week
-    whatever the length of the window. Running sums of events hold until the customer's next event. Amounts are summed in
-    whole millionths, so that what leaves takes away exactly what it brought.
+    whatever the length of the window. Running sums of events hold until the customer's next event. Amounts are summed as
+    whole millionths in longs, so that what leaves takes away exactly what it brought; a sum beyond 9.2e12 stops the job.
     """
     sums = ("_revenue", "_n_revenue", "_units", "_n_units", "_days")
-    exact = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,6)")
+    amounts = ("_revenue", "_units")
+    exact = lambda c: F.coalesce(F.round(F.col(c) * 1_000_000) if c in amounts else F.col(c), F.lit(0)).cast("long")
     daily = _daily(tx).withColumn("_days", F.lit(1)).withColumns({"_week": week_start("tx_date"), "_out": _exit(F.col("tx_date"), days)})
     # the days of a week leave at the exit of its first day or a week later
     late = F.col("_out") > _exit(F.col("_week"), days)
     weekly = daily.groupBy("customer_id", "_week").agg(
-        *[F.sum(exact(c)).alias(c) for c in sums], *[F.sum(F.when(late, exact(c)).otherwise(F.lit(0).cast("decimal(38,6)"))).alias(f"{c}_late") for c in sums], F.max("tx_date").alias("_last")
+        *[F.sum(exact(c)).alias(c) for c in sums], *[F.sum(F.when(late, exact(c)).otherwise(0)).alias(f"{c}_late") for c in sums], F.max("tx_date").alias("_last")
     )
     first = _exit(F.col("_week"), days)
     all_late = F.col("_days_late") > 0
-    event = lambda at, weeks, parts, last: F.struct(at.alias("feature_ts"), weeks.cast("int").alias("_weeks"), *[p.cast("decimal(38,6)").alias(c) for c, p in zip(sums, parts)], last.alias("_last"))
+    event = lambda at, weeks, parts, last: F.struct(at.alias("feature_ts"), weeks.cast("int").alias("_weeks"), *[p.cast("long").alias(c) for c, p in zip(sums, parts)], last.alias("_last"))
     nothing = F.lit(None).cast("date")
     events = F.array(
         event(F.date_add("_week", 7), F.lit(1), [F.col(c) for c in sums], F.col("_last")),
@@ -244,16 +245,16 @@ def _look_back(tx: DataFrame, days: int) -> DataFrame:
     )
     mondays = F.sequence(F.col("feature_ts"), F.date_sub("_next", 7), F.expr("INTERVAL 7 DAYS"))
     held = state.where("_days > 0").withColumn("feature_ts", F.explode(mondays))
-    amount = lambda c: F.col(c).cast("double")
+    amount = lambda c: F.col(c) / F.lit(1e6)
     return held.select(
         "customer_id",
         "feature_ts",
-        F.try_divide(amount("_revenue"), amount("_n_revenue")).alias("mean_revenue"),
+        F.try_divide(amount("_revenue"), F.col("_n_revenue")).alias("mean_revenue"),
         F.col("_weeks").cast("bigint").alias("active_weeks"),
         F.datediff("feature_ts", "_last").alias("idle_days"),
         F.when(F.col("_n_units") > 0, amount("_units")).alias("units_in_window"),
         F.col("_days").cast("bigint").alias("active_days"),
-        F.try_divide(amount("_units"), amount("_n_units")).alias("mean_units"),
+        F.try_divide(amount("_units"), F.col("_n_units")).alias("mean_units"),
     )
 
 
