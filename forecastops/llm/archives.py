@@ -151,7 +151,8 @@ def planned(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", u
 
 
 def convert(records: DataFrame) -> DataFrame:
-    """``value``: the WARC record of each ARC record. ``records`` has id, version, record and refers_to."""
+    """``value``: the WARC record of each ARC record. ``records`` has id, version, record and refers_to; ids travel as text,
+    as a column of integers with nulls would become one of floats."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -159,12 +160,13 @@ def convert(records: DataFrame) -> DataFrame:
             for page, version, record, refers in zip(batch["id"], batch["version"], batch["record"], batch["refers_to"]):
                 fields, body = next(parse_arc(record.encode(), int(version)))
                 _, payload = split_http(body)
-                target = None if pd.isna(refers) else f"<urn:page:{int(refers)}>"
-                more = {"X-Page-Id": "" if pd.isna(page) else str(int(page)), "X-Payload-Length": str(len(payload))}
+                target = None if refers is None else f"<urn:page:{refers}>"
+                more = {"X-Page-Id": page or "", "X-Payload-Length": str(len(payload))}
                 out.append(arc_to_warc(fields, body, target, more).decode())
             yield pd.DataFrame({"value": out})
 
-    return records.mapInPandas(run, "value string")
+    texts = [F.col(c).cast("string").alias(c) for c in ("id", "refers_to")]
+    return records.select("version", "record", *texts).mapInPandas(run, "value string")
 
 
 def write_warc(records: DataFrame, path: str) -> None:
@@ -177,7 +179,7 @@ def read_warc(spark, path: str) -> DataFrame:
 
     Length and digest of a stored payload are computed from it and must equal the declared ones.
     """
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    schema = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,12 +191,12 @@ def read_warc(spark, path: str) -> DataFrame:
                     if header["warc-type"] == "response" and (len(payload) != size or digest(payload) != declared):
                         raise ValueError(f"payload of {header['warc-record-id']} differs from its header")
                     page, refers = header["x-page-id"], header.get("warc-refers-to")
-                    rows.append((int(page) if page else None, size, declared, header["warc-type"], int(refers[10:-1]) if refers else None))
-                frame = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                    rows.append((page or None, size, declared, header["warc-type"], refers[10:-1] if refers else None))
+                yield pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInPandas(run, schema)
+    ids = {c: F.col(c).cast("long") for c in ("page_id", "refers_to")}
+    return files.mapInPandas(run, schema).withColumns(ids)
 
 
 def archive_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url", least: int = 0) -> DataFrame:

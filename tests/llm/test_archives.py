@@ -63,3 +63,10 @@ def test_pages(spark):
     twice = ar.archive_pages(pages.unionAll(pages.filter("page_id = 7")))
     assert [r.record_type for r in twice.filter("page_id = 7").collect()] == ["response"] * 2
     assert ar.archive_pages(pages.limit(0)).collect() == []
+
+
+def test_large_ids_stay_exact(spark):
+    ids = [2**53 + 1, 2**53 + 3, 2**62, -(2**53) - 1, None]
+    pages = spark.createDataFrame([(i, "u", "same") for i in ids] + [(5, "u", "other")], "page_id long, url string, html string").repartition(1)
+    got = {r.page_id: r.refers_to for r in ar.archive_pages(pages).collect()}
+    assert got == {**{i: 2**62 for i in ids}, 2**62: None, 5: None}
