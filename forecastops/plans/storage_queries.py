@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from forecastops.operators import feature_store as fs
 from forecastops.operators import histograms as hi
 from forecastops.operators import ranking as rk
 from forecastops.operators import reports as rp
+from forecastops.operators import scoring as sc
 from forecastops.operators import split as sp
 from forecastops.operators import training as tr
 from forecastops.plans import jobs
@@ -18,6 +21,7 @@ from forecastops.plans.monitoring_queries import DRIFT, HIGH, JSD, LOW, SEG
 from forecastops.plans.operations_queries import STORE, _fresh, _orders
 from forecastops.plans.registry import BASE, SPLIT_WEEK, query, with_
 from forecastops.session import cut, store
+from forecastops.sources import buckets as bu
 from forecastops.sources import landing as la
 from forecastops.sources import tables as tb
 from forecastops.streaming import monitor as mo
@@ -225,3 +229,61 @@ def performance_second_dimension(spark, sf):
     landed = jobs.read(spark, _landed(spark, sf, False), "performance").where("metric_col = 'wape' and aggregated_col = 'cust_category'")
     kept = landed.where(F.col("aggregated_value").isin("VALUE", "REGULAR"))
     return kept.select("model_version", "week", F.col("aggregated_value").alias("cust_category"), F.col("metric_value").alias("wape"))
+
+
+@query(
+    "prediction_drift_job",
+    with_(
+        [*DRIFT, f"j AS (SELECT week, stats_group, {JSD} AS js_distance FROM cells WHERE feature = 'prediction' GROUP BY ALL)"],
+        f"SELECT model_version, week, stats_group AS segment, js_distance FROM j, ({VERSION_SQL})",
+    ),
+    "js_distance",
+)
+def prediction_drift_job(spark, sf):
+    """Score, prediction baseline and prediction drift of two versions on landing tables, the last two run twice."""
+    root = _fresh(spark, "landing")
+    rows = store(grouped(spark, sf))
+    # models that repeat last week's sales
+    models = rows.groupBy(SEG).agg(F.count(F.lit(1)).alias("n_rows")).withColumns({"intercept": F.lit(0.0), "coefficients": F.array(F.lit(1.0)), "train_rmse": F.lit(0.0)})
+    models = cut(tr.models_frame(spark, models, "naive", VERSIONS[0]).unionByName(tr.models_frame(spark, models, "naive", VERSIONS[1])))
+    jobs.score(spark, root, rows.drop("prediction"), models, "naive", SEG, ["w_m1_total"], ["customer_id", "brand"], unit="UNIT")
+    view = store(sc.prediction_view(jobs.read(spark, root, "predictions"), {"customer_id": "int", "brand": "string"}, SEG))
+    for _ in range(2):
+        for v in VERSIONS:
+            jobs.drift_baseline(spark, root, baseline(view.where(F.col("model_version") == v)), "naive", v, [SEG], [], ["prediction"], predictions=True, exact=True)
+        jobs.prediction_drift(spark, root, "naive", [SEG], production(view), unit="UNIT", min_week=SPLIT_WEEK)
+    landed = jobs.read(spark, root, "prediction_drift").where((F.col("metric_col") == jobs.JS) & F.col("metric_value").isNotNull())
+    return landed.select("model_version", "week", F.col("aggregated_value").alias("segment"), F.col("metric_value").alias("js_distance"))
+
+
+ROUTES = {
+    "group_stat_0": lambda x: x["w_m1_total"],
+    "group_stat_1": lambda x: x["sum_past_4_weeks"] / 4,
+    "group_stat_2": lambda x: x["avg_past_12_weeks"],
+    "group_stat_3": lambda x: 0.5 * x["w_m1_total"] + 0.125 * x["sum_past_4_weeks"],
+}
+
+
+@query(
+    "routed_score",
+    with_(
+        BASE,
+        """SELECT customer_id, brand, week, stats_group, CASE stats_group WHEN 'group_stat_0' THEN w_m1_total WHEN 'group_stat_1' THEN sum_past_4_weeks / 4 WHEN 'group_stat_2' THEN avg_past_12_weeks
+             ELSE 0.5::DOUBLE * w_m1_total + 0.125::DOUBLE * sum_past_4_weeks END AS prediction FROM grouped""",
+    ),
+    "prediction",
+)
+def routed_score(spark, sf):
+    """An ensemble of one Python model per group, each batch of rows scored where it is."""
+    rows = grouped(spark, sf).drop("prediction")
+    return sc.routed_score(rows, SEG, ROUTES, ["w_m1_total", "sum_past_4_weeks", "avg_past_12_weeks"], ROW_IDS)
+
+
+@query("bucketed_actuals", with_(BASE, f"SELECT customer_id, brand, week, prediction, y FROM grouped WHERE week >= {SPLIT_WEEK}"), "prediction y")
+def bucketed_actuals(spark, sf):
+    """Predictions and actual sales as bucketed tables, joined without a shuffle."""
+    rows = stored_groups(spark, sf)
+    names = [f"{kind}_{uuid.uuid4().hex}" for kind in ("predictions", "actuals")]
+    bu.write_bucketed(production(rows).select(*ROW_IDS, "prediction"), names[0], ROW_IDS, 8)
+    bu.write_bucketed(rows.select(*ROW_IDS, "y"), names[1], ROW_IDS, 8)
+    return bu.bucket_join(spark, *names, ROW_IDS)
