@@ -30,31 +30,29 @@ def target_distribution(df: DataFrame, y: str, exact: bool = True) -> DataFrame:
 
 
 def outliers_3sigma(df: DataFrame, y: str, sigmas: float = 3.0) -> DataFrame:
-    """Number and extremes of values further than ``sigmas`` standard deviations from the mean."""
-    present = df.where(F.col(y).isNotNull())
-    bounds = present.agg(
-        F.struct(
-            (F.avg(y) - sigmas * F.stddev_samp(y)).alias("low"), (F.avg(y) + sigmas * F.stddev_samp(y)).alias("high")
-        ).alias("b")
-    ).scalar()
-    return (
-        present.select(y, bounds.alias("_b"))
-        .where((F.col(y) < F.col("_b.low")) | (F.col(y) > F.col("_b.high")))
-        .agg(F.count(F.lit(1)).alias("outlier_count"), F.min(y).alias("min_outlier"), F.max(y).alias("max_outlier"))
+    """(side, n, share, nearest, farthest) of the values more than ``sigmas`` standard deviations below or above the mean.
+
+    Distances are in standard deviations, the share is of all values; a side without such values has no row.
+    """
+    v = F.col(y).cast("double")
+    present = df.where(v.isNotNull()).select(v.alias("_v"))
+    spread = present.agg(F.struct(F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("sd"), F.count(F.lit(1)).alias("n")).alias("s")).scalar()
+    away = present.select(spread.alias("_s"), F.try_divide(F.col("_v") - F.col("_s.mean"), F.col("_s.sd")).alias("_away")).where(F.abs("_away") > sigmas)
+    side = F.when(F.col("_away") < 0, "below").otherwise("above").alias("side")
+    return away.groupBy(side).agg(
+        F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) / F.first("_s.n")).alias("share"), F.min(F.abs("_away")).alias("nearest"), F.max(F.abs("_away")).alias("farthest")
     )
 
 
 def group_distribution(df: DataFrame, group: str, entity: str, y: str) -> DataFrame:
-    """Records, distinct entities and mean target per group."""
-    return (
-        df.where(F.col(group).isNotNull())
-        .groupBy(group)
-        .agg(
-            F.count(F.lit(1)).alias("record_count"),
-            F.countDistinct(entity).alias("unique_entities"),
-            F.avg(y).alias("avg_target"),
-        )
+    """(group, share, rows_per_entity, mean, sd): how rows and target spread over the groups; a null group is a group."""
+    known = F.col(entity).isNotNull()
+    parts = df.groupBy(group).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(known).alias("_named"), F.countDistinct(entity).alias("_entities"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("sd")
     )
+    # one row per group
+    every = parts.agg(F.sum("_rows")).scalar()
+    return parts.select(group, (F.col("_rows") / every).alias("share"), F.try_divide(F.col("_named"), F.col("_entities")).alias("rows_per_entity"), "mean", "sd")
 
 
 def group_check(df: DataFrame, group: str, expected: int = 16, least: int = 100) -> DataFrame:

@@ -149,10 +149,10 @@ def revenue_quantiles(spark, sf):
     "outliers_3sigma",
     with_(
         [TX, PANEL],
-        """SELECT COUNT(*) AS outlier_count, MIN(y) AS min_outlier, MAX(y) AS max_outlier
-           FROM panel, (SELECT AVG(y) AS m, STDDEV_SAMP(y) AS s FROM panel) WHERE y < m - 3 * s OR y > m + 3 * s""",
+        """SELECT CASE WHEN z < 0 THEN 'below' ELSE 'above' END AS side, COUNT(*) AS n, COUNT(*) / MAX(total) AS share, MIN(ABS(z)) AS nearest, MAX(ABS(z)) AS farthest
+           FROM (SELECT (y - AVG(y) OVER ()) / STDDEV_SAMP(y) OVER () AS z, COUNT(*) OVER () AS total FROM panel) WHERE ABS(z) > 3 GROUP BY 1""",
     ),
-    "min_outlier max_outlier",
+    "share nearest farthest",
 )
 def outliers_3sigma(spark, sf):
     return qa.outliers_3sigma(store(weekly_sales(spark, sf)), "y")
@@ -160,11 +160,11 @@ def outliers_3sigma(spark, sf):
 
 @query(
     "group_distribution",
-    with_([*BASE], "SELECT stats_group, COUNT(*) AS record_count, COUNT(DISTINCT customer_id) AS unique_entities, AVG(y) AS avg_target FROM grouped GROUP BY 1"),
-    "avg_target",
+    with_([*BASE], "SELECT stats_group, COUNT(*) / SUM(COUNT(*)) OVER () AS share, COUNT(*) / COUNT(DISTINCT customer_id) AS rows_per_entity, AVG(y) AS mean, STDDEV_SAMP(y) AS sd FROM grouped GROUP BY 1"),
+    "share rows_per_entity mean sd",
 )
 def group_distribution(spark, sf):
-    return qa.group_distribution(grouped(spark, sf), "stats_group", "customer_id", "y")
+    return qa.group_distribution(stored_groups(spark, sf), "stats_group", "customer_id", "y")
 
 
 @query(
