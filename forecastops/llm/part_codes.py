@@ -73,9 +73,18 @@ def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray
         rows = parts[start:end]
         if len(rows) > LEAVES and depth < parts.shape[1]:
             cuts = [0, *(np.flatnonzero(np.diff(rows[:, depth])) + 1).tolist(), len(rows)]
-            for a, b in reversed(list(zip(cuts, cuts[1:]))):
-                child = sums + (rows[a, depth] - book[:, depth]) ** 2
-                todo.append((start + a, start + b, depth + 1, child))
+            below, at = [], 0
+            for a, b in zip(cuts, cuts[1:]):
+                # small neighbours stay together, a large child goes on its own
+                if b - at > LEAVES and a > at:
+                    below.append((start + at, start + a, depth, sums))
+                    at = a
+                if b - a > LEAVES:
+                    below.append((start + a, start + b, depth + 1, sums + (rows[a, depth] - book[:, depth]) ** 2))
+                    at = b
+            if at < len(rows):
+                below.append((start + at, end, depth, sums))
+            todo.extend(reversed(below))
             continue
         node, new = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=bool)
         new[:1] = True
