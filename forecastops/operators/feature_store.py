@@ -12,7 +12,7 @@ from forecastops.session import cut
 from forecastops.sources.landing import upsert, upsert_path, without_keys
 from forecastops.sources.tables import read_or_empty
 
-PENDING, PROCESSED = "PENDING", "PROCESSED"
+PROCESSED = "PROCESSED"
 RUN_LOG = T.StructType(
     [
         T.StructField("batch_id", T.StringType()),
@@ -28,21 +28,6 @@ ROW_LOG = T.StructType(
 )
 
 
-def mark_pending(rows: DataFrame, batch_id: str | Column, log: DataFrame | None = None) -> DataFrame:
-    """Source rows with their batch and its status: processed if the run log has the batch, else pending.
-
-    The status is derived from the log instead of being rewritten in the source, so finishing a batch touches one log row.
-    """
-    batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
-    tagged = rows.withColumn("batch_id", batch.cast("string"))
-    if log is None:
-        return tagged.withColumn("status", F.lit(PENDING))
-    done = log.where(F.col("status") == PROCESSED).select("batch_id", F.lit(True).alias("_done")).distinct()
-    return tagged.join(done, "batch_id", "left").withColumn(
-        "status", F.when(F.col("_done"), PROCESSED).otherwise(PENDING)
-    ).drop("_done")
-
-
 def latest_rows(features: DataFrame, entity: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per entity by ``order``, as an aggregate with map-side combine rather than a sort of each entity."""
     rest = [c for c in features.columns if c not in entity]
