@@ -8,12 +8,14 @@ candidates, and the long lists are probed for them by binary search in the sorte
 
 Candidates in one component of verified links need no check, as only components are wanted. So rounds of checks against
 the most central document of each list come first; they join groups of near copies without pairing them up. The last round
-then merges the lists between components, exactly.
+then merges the lists between components, exactly. There, two documents that meet in a list are a pair only if the parity
+bits of their sets allow the overlap: bits that differ never outnumber the n-grams in which two sets differ.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,6 +35,8 @@ WORDS, PERCENT = 5, 75
 ORDER_BINS = 1 << 20
 #: Rounds of checks against central documents before the exact round.
 HUB_ROUNDS = 2
+#: 64-bit numbers that hold the parity bits of a set.
+PARITY = 8
 _PIECES = 64
 _ADDED = 512
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -80,6 +84,12 @@ def required(nx, ny, percent: int = PERCENT):
     return -((-percent * (nx + ny)) // (100 + percent))
 
 
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """Of each of ``PARITY`` * 64 places, whether an odd number of the n-grams fall there, as 64-bit numbers."""
+    counts = np.bincount(((grams >> np.uint64(20)) % np.uint64(PARITY * 64)).astype(np.int64), minlength=PARITY * 64)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _long_lists(n, percent: int):
     """Lists of a set of ``n`` elements that are long for it: one less than the least overlap with any partner."""
     return -((-percent * n) // 100) - 1
@@ -111,7 +121,8 @@ def frequency_table(docs: DataFrame, bins: int = ORDER_BINS, k: int = WORDS) ->
 
 
 def described(docs: DataFrame, table: np.ndarray, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row: id, digest of the word sequence, n (size of the set) and head: the rarest n-grams in order, as 32-bit numbers.
+    """Per row: id, digest of the word sequence, n (size of the set), parity (bits of the set) and head: the rarest n-grams in
+    order, as 32-bit numbers.
 
     Two n-grams with one number only make candidates more. ``docs`` has id and text.
     """
@@ -122,16 +133,17 @@ def described(docs: DataFrame, table: np.ndarray, k: int = WORDS, percent: int =
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.iloc[at : at + 2000]
-                digests, sizes, heads = [], [], []
+                digests, sizes, parities, heads = [], [], [], []
                 for grams, digest in shingle_sets(part["text"], k):
                     merged = len(grams) - _long_lists(len(grams), percent) if len(grams) else 0
                     order = np.lexsort((grams, frequent[(grams & np.uint64(len(frequent) - 1)).astype(np.int64)]))
                     heads.append((grams[order[:merged]] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                     digests.append(digest)
+                    parities.append(parity_bits(grams))
                     sizes.append(len(grams))
-                yield pd.DataFrame({"id": part["id"], "digest": digests, "n": sizes, "head": heads})
+                yield pd.DataFrame({"id": part["id"], "digest": digests, "n": sizes, "parity": parities, "head": heads})
 
-    return docs.mapInPandas(describe, f"id {docs.schema['id'].dataType.simpleString()}, digest binary, n long, head array<int>")
+    return docs.mapInPandas(describe, f"id {docs.schema['id'].dataType.simpleString()}, digest binary, n long, parity array<long>, head array<int>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -189,7 +201,7 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lists = store(lists.join(central, "id"))
     labels, checked = None, None
     for last in [False] * HUB_ROUNDS + [True]:
-        pairs = _between_components(lists, percent) if last else _hub_pairs(lists, percent)
+        pairs = _between_components(lists, _parities(heads), percent) if last else _hub_pairs(lists, percent)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = store(pairs)
@@ -225,8 +237,21 @@ def _hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def _between_components(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of different components that meet in as many merged lists as the similarity asks for.
+def _parities(heads: DataFrame) -> DataFrame:
+    """id and its parity bits p0, p1, …; null where rows of one id have several sets."""
+    one = heads.groupBy("id").agg(F.count("*").alias("sets"), F.first("parity").alias("parity"))
+    return one.select("id", *[F.when(F.col("sets") == 1, F.get("parity", F.lit(i))).alias(f"p{i}") for i in range(PARITY)])
+
+
+def _differing() -> Column:
+    """Parity bits in which x and y differ; 0 where one has none."""
+    bits = [F.bit_count(F.col(f"p{i}_x").bitwiseXOR(F.col(f"p{i}_y"))) for i in range(PARITY)]
+    return F.coalesce(reduce(lambda a, b: a + b, bits), F.lit(0))
+
+
+def _between_components(lists: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of different components that meet in as many merged lists as the similarity asks for, and whose
+    parity bits allow it.
 
     Of each list, the documents outside its largest component meet all others; a list within one component meets nothing.
     """
@@ -234,14 +259,16 @@ def _between_components(lists: DataFrame, percent: int) -> DataFrame:
     major = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("major"), F.count("*").alias("comps"))
     mixed = store(lists.join(major.filter("comps > 1"), "gram"))
     # a document meets others in no more lists than it has among these, so most pairs are ruled out before they are made
-    mixed = mixed.join(mixed.groupBy("id").agg(F.count("*").alias("among")), "id")
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp", "among")]
+    mixed = mixed.join(mixed.groupBy("id").agg(F.count("*").alias("among")), "id").join(parities, "id")
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp", "among", *parities.columns[1:])]
     minor = mixed.filter("comp != major").select("gram", *side("x"))
     every = mixed.select("gram", (F.col("comp") == F.col("major")).alias("is_major"), *side("y"))
     once = F.col("is_major") | (F.col("id_x") < F.col("id_y"))
     overlap = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
     least = F.greatest(F.lit(1), overlap - F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y")))
     fits = _fits(F.col("n_x"), F.col("n_y"), percent) & (F.least("among_x", "among_y") >= least)
+    # sets of nx and ny elements that share o of them differ in nx + ny - 2 o
+    fits = fits & (_differing() <= F.col("n_x") + F.col("n_y") - 2 * overlap)
     met = minor.join(every, "gram").filter((F.col("comp_x") != F.col("comp_y")) & once & fits)
     a, b = F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
     counts = met.select(a, b, least.alias("least")).groupBy("a", "b").agg(F.count("*").alias("lists"), F.first("least").alias("least"))

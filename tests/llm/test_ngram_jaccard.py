@@ -126,3 +126,27 @@ def test_edges(spark):
     # rows that repeat an id are one document, even where their texts differ
     got = result(spark, [(1, "p q r s t u"), (2, "p q r s t u"), (2, "k l m n o p q"), (5, "k l m n o p q")])
     assert {c for _, _, c in got} == {1}
+
+
+def test_parity_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        x = np.unique(rng.integers(0, 1 << 63, rng.integers(0, 900)).astype(np.uint64))
+        y = np.union1d(rng.permutation(x)[: rng.integers(0, len(x) + 1)], rng.integers(0, 1 << 63, rng.integers(0, 300)).astype(np.uint64))
+        differing = sum(int(v).bit_count() for v in (nj.parity_bits(x) ^ nj.parity_bits(y)).view(np.uint64))
+        assert len(nj.parity_bits(x)) == nj.PARITY and differing <= len(np.setxor1d(x, y))
+
+
+def test_hot_group_just_below_the_similarity(spark):
+    """Documents that share their lists with all others and link with few: parity bits rule pairs out, links stay."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(70)]
+    rows = []
+    for i in range(70):
+        copy = list(base)
+        for at in rng.sample(range(70), rng.choice([1, 2, 3])):
+            copy[at] = f"x{rng.randrange(200)}"
+        rows.append((i, " ".join(copy)))
+    # one id of two texts has no parity bits, and still links with both
+    rows += [(500, rows[3][1]), (500, " ".join(f"c{i}" for i in range(40))), (501, " ".join(f"c{i}" for i in range(41)))]
+    assert result(spark, rows) == brute(rows)
