@@ -63,6 +63,16 @@ def snapshot_copy(spark, sf):
     return spark.read.schema(rows.schema).parquet(target)
 
 
+@query("created_like", with_([ORDERS], "SELECT o_orderkey, o_orderstatus, year FROM o WHERE year >= 1997"))
+def created_like(spark, sf):
+    """A table made empty in the columns of another, then filled and read by the columns it was made with."""
+    rows, path = _years(spark, sf).select("o_orderkey", "o_orderstatus", "year"), _fresh(spark, "like")
+    la.create_like(spark, rows, path)
+    made = spark.read.parquet(path)
+    rows.where("year >= 1997").write.mode("append").parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 @query("segment_folders", with_([ORDERS], "SELECT o_orderkey, o_orderstatus FROM o WHERE o_orderstatus <> 'P' OR year < 1998"))
 def segment_folders(spark, sf):
     """A folder per segment in two runs; the second adds only the segments the first did not write."""
@@ -96,6 +106,19 @@ def event_local_time(spark, sf):
     return ev.withColumn("local_day", F.col("local_ts").cast("date"))
 
 
+#: The last Sunday of a month that has 31 days, as a time.
+LAST_SUNDAY = "(make_date(year(t)::INTEGER, {m}, 31) - dayofweek(make_date(year(t)::INTEGER, {m}, 31))::INTEGER)::TIMESTAMP"
+SUMMER = f"t >= {LAST_SUNDAY.format(m=3)} + INTERVAL 1 HOUR AND t < {LAST_SUNDAY.format(m=10)} + INTERVAL 1 HOUR"
+
+
+@query("event_summer_time", f"WITH e AS (SELECT event_id, (CAST(ts AS TIMESTAMP) + INTERVAL 1 DAY * (event_id % 365)) AS t FROM events), l AS (SELECT event_id, t + CASE WHEN {SUMMER} THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS local_ts FROM e) SELECT event_id, local_ts, CAST(local_ts AS DATE) AS local_day FROM l")
+def event_summer_time(spark, sf):
+    """Times in a zone that changes its hour twice a year; events are dealt over the days of a year, so both hours occur."""
+    dealt = F.col("ts").cast("timestamp") + F.make_dt_interval(days=(F.col("event_id") % 365).cast("int"))
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", local_time(dealt, "Europe/Berlin").alias("local_ts"))
+    return ev.withColumn("local_day", F.col("local_ts").cast("date"))
+
+
 @query("inference_clean", with_(BASE, f"SELECT customer_id, brand, week, COALESCE(avg_past_12_weeks, 0) AS avg_past_12_weeks, sum_p4w FROM grouped WHERE week >= {SPLIT_WEEK} AND NULLIF(quarter, 4) IS NOT NULL"), "avg_past_12_weeks sum_p4w")
 def inference_clean(spark, sf):
     """Scoring rows from a week on that have all they need, absent features as 0."""
@@ -145,17 +168,21 @@ def feature_late_rows(spark, sf):
 
 @query("refreshed_view", "SELECT o_custkey, COUNT(*) AS n_orders, SUM(o_totalprice) AS total, CAST(o_custkey % 8 AS INTEGER) AS bucket FROM orders GROUP BY 1", "total")
 def refreshed_view(spark, sf):
-    """A view brought up to date by two runs of a stream over arriving files; the second finds new orders of known customers."""
+    """A view brought up to date by two runs of a stream over arriving files; the second finds new orders of known customers.
+
+    Files lie in folders by customer bucket, and a run reads the folders of the buckets that got rows, not the whole history.
+    """
     inbox, path, marks = _fresh(spark, "inbox"), _fresh(spark, "view"), _fresh(spark, "marks")
-    orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice")
+    orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", (F.col("o_custkey") % 8).cast("int").alias("bucket"))
 
     def recompute(arrived: DataFrame) -> DataFrame:
-        history = spark.read.schema(orders.schema).parquet(inbox).join(arrived.select("o_custkey").distinct(), "o_custkey", "left_semi")
-        sums = history.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total"))
-        return sums.withColumn("bucket", (F.col("o_custkey") % 8).cast("int"))
+        touched = [r.bucket for r in arrived.select("bucket").distinct().collect()]  # eight at most
+        history = spark.read.schema(orders.schema).parquet(inbox).where(F.col("bucket").isin(touched))
+        history = history.join(arrived.select("o_custkey").distinct(), "o_custkey", "left_semi")
+        return history.groupBy("o_custkey", "bucket").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total"))
 
     for part in ("o_orderkey % 3 = 0", "o_orderkey % 3 > 0"):
-        orders.where(part).write.mode("append").parquet(inbox)
+        orders.where(part).write.mode("append").partitionBy("bucket").parquet(inbox)
         arriving = spark.readStream.schema(orders.schema).parquet(inbox)
         mo.refresh(spark, arriving, recompute, path, marks, ["o_custkey", "bucket"], ["bucket"])
     return spark.read.parquet(path).select("o_custkey", "n_orders", "total", "bucket")
