@@ -8,8 +8,9 @@ candidates, and the long lists are probed for them by binary search in the sorte
 
 Candidates in one component of verified links need no check, as only components are wanted. So rounds of checks against
 the most central document of each list come first; they join groups of near copies without pairing them up. The last round
-then merges the lists between components, exactly. There, two documents that meet in a list are a pair only if the parity
-bits of their sets allow the overlap: bits that differ never outnumber the n-grams in which two sets differ.
+then merges the lists between components, exactly. There, a pair is made where its first common list, in an order from short
+to long ones, may be, not in every common list; then the parity bits of the sets must allow the overlap (bits that differ never
+outnumber the n-grams in which two sets differ), and the common lists of the pair are counted.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ ORDER_BINS = 1 << 20
 HUB_ROUNDS = 2
 #: 64-bit numbers that hold the parity bits of a set.
 PARITY = 8
+#: Lists before a common one that are looked at for an earlier common one. Any number gives the same pairs.
+BEFORE = 4
 _PIECES = 64
 _ADDED = 512
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -192,8 +195,8 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = store(named.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("size")))
     reps = classes.select(F.col("rep").alias("id")).distinct()
     heads = named.join(reps, "id", "left_semi").dropDuplicates(["id", "digest"])
-    postings = heads.select("id", "n", F.size("head").alias("merged"), F.explode("head").alias("gram"))
-    # inverted lists of two documents or more
+    # inverted lists of two documents or more; counts and lists read the same shuffle
+    postings = heads.select("id", "n", F.size("head").alias("merged"), F.explode("head").alias("gram")).repartition("gram")
     lists = postings.join(postings.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "gram")
     lists = store(lists.select("gram", "id", "n", "merged", F.col("id").alias("comp")))
     # a document of whose head most is shared is central to its near copies
@@ -249,27 +252,66 @@ def _differing() -> Column:
     return F.coalesce(reduce(lambda a, b: a + b, bits), F.lit(0))
 
 
-def _between_components(lists: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of different components that meet in as many merged lists as the similarity asks for, and whose
-    parity bits allow it.
+def _nodes(lists: DataFrame, parities: DataFrame) -> DataFrame:
+    """Per document: id, n, merged, comp, parity bits and grams, its lists that hold several components, short lists first.
 
-    Of each list, the documents outside its largest component meet all others; a list within one component meets nothing.
+    Each of grams has the length of the list, the n-gram, and whether the document is of the list's largest component. Sets of
+    one id and size are one row.
     """
     sizes = lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
-    major = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("major"), F.count("*").alias("comps"))
-    mixed = store(lists.join(major.filter("comps > 1"), "gram"))
-    # a document meets others in no more lists than it has among these, so most pairs are ruled out before they are made
-    mixed = mixed.join(mixed.groupBy("id").agg(F.count("*").alias("among")), "id").join(parities, "id")
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp", "among", *parities.columns[1:])]
-    minor = mixed.filter("comp != major").select("gram", *side("x"))
-    every = mixed.select("gram", (F.col("comp") == F.col("major")).alias("is_major"), *side("y"))
+    of_list = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("major"), F.count("*").alias("comps"), F.sum("n").alias("length"))
+    mixed = lists.join(of_list.filter("comps > 1"), "gram")
+    entry = F.struct("length", "gram", (F.col("comp") == F.col("major")).alias("is_major"))
+    rows = mixed.groupBy("id", "n", "merged", "comp").agg(F.array_sort(F.collect_list(entry)).alias("grams"))
+    return rows.join(parities, "id")
+
+
+def _meetings(nodes: DataFrame, percent: int) -> DataFrame:
+    """(x, y): pairs of rows of :func:`_nodes`, as structs of id and n, that may reach the similarity; few rows a pair, not one
+    for each list in which it meets.
+
+    Of each list, the documents outside its largest component meet all others; a list within one component meets nothing. A
+    pair needs ``least`` common lists, so the first of them has as many places left in both documents' orders, and none of the
+    ``BEFORE`` lists before it is common. Both hold for the first common list of every pair.
+    """
+    # each list with the ones before it: the array of n-grams moved by 1, 2, ...; null where there is none
+    moved = [F.slice(F.concat(F.array_repeat(F.lit(None).cast("int"), k), "grams.gram"), F.lit(1), F.size("grams")).alias(f"b{k}") for k in range(1, BEFORE + 1)]
+    each = nodes.select("id", "n", "merged", "comp", F.size("grams").alias("among"), F.arrays_zip(F.col("grams").alias("list"), *moved).alias("lists"))
+    each = each.select("id", "n", "merged", "comp", "among", F.posexplode("lists").alias("place", "e"))
+    before = F.array(*[F.col(f"e.b{k}") for k in range(1, BEFORE + 1)])
+    each = each.select("e.list.gram", "e.list.is_major", "id", "n", "merged", "comp", (F.col("among") - F.col("place")).alias("left"), before.alias("before"))
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "merged", "comp", "left", "before")]
+    minor = each.filter(~F.col("is_major")).select("gram", *side("x"))
+    every = each.select("gram", "is_major", *side("y"))
     once = F.col("is_major") | (F.col("id_x") < F.col("id_y"))
-    overlap = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
-    least = F.greatest(F.lit(1), overlap - F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y")))
-    fits = _fits(F.col("n_x"), F.col("n_y"), percent) & (F.least("among_x", "among_y") >= least)
+    fits = _fits(F.col("n_x"), F.col("n_y"), percent) & (F.least("left_x", "left_y") >= _least(percent))
+    first = ~F.coalesce(F.arrays_overlap("before_x", "before_y"), F.lit(False))
+    met = minor.join(every, "gram").filter((F.col("comp_x") != F.col("comp_y")) & once & fits & first)
+    x, y = F.struct(F.col("id_x").alias("id"), F.col("n_x").alias("n")), F.struct(F.col("id_y").alias("id"), F.col("n_y").alias("n"))
+    return met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
+
+
+def _least(percent: int) -> Column:
+    """Merged lists in which x and y meet at least if they reach the similarity."""
+    return F.greatest(F.lit(1), _overlap(percent) - F.greatest(F.col("n_x") - F.col("merged_x"), F.col("n_y") - F.col("merged_y")))
+
+
+def _overlap(percent: int) -> Column:
+    return F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
+
+
+def _between_components(lists: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of different components that meet in as many merged lists as the similarity asks for, and whose
+    parity bits allow it."""
+    nodes = store(_nodes(lists, parities))
+    met = store(_meetings(nodes, percent).distinct())
+    ends = met.select(F.explode(F.array("x.id", "y.id")).alias("id")).distinct()
+    rows = nodes.join(ends, "id", "left_semi").withColumn("grams", F.col("grams.gram"))
+    side = lambda s: rows.select(F.struct("id", "n").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in rows.columns])
+    pairs = met.join(side("x"), "x").join(side("y"), "y")
     # sets of nx and ny elements that share o of them differ in nx + ny - 2 o
-    fits = fits & (_differing() <= F.col("n_x") + F.col("n_y") - 2 * overlap)
-    met = minor.join(every, "gram").filter((F.col("comp_x") != F.col("comp_y")) & once & fits)
-    a, b = F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
-    counts = met.select(a, b, least.alias("least")).groupBy("a", "b").agg(F.count("*").alias("lists"), F.first("least").alias("least"))
-    return counts.filter("lists >= least").select("a", "b")
+    pairs = pairs.filter(_differing() <= F.col("n_x") + F.col("n_y") - 2 * _overlap(percent))
+    # n-grams of one document that have the same number count as often as they may be met
+    twice = F.least(*[F.size(f"grams_{s}") - F.size(F.array_distinct(f"grams_{s}")) for s in "xy"])
+    lists_met = F.size(F.array_intersect("grams_x", "grams_y")) + twice
+    return pairs.filter(lists_met >= _least(percent)).select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()

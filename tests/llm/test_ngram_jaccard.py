@@ -150,3 +150,35 @@ def test_hot_group_just_below_the_similarity(spark):
     # one id of two texts has no parity bits, and still links with both
     rows += [(500, rows[3][1]), (500, " ".join(f"c{i}" for i in range(40))), (501, " ".join(f"c{i}" for i in range(41)))]
     assert result(spark, rows) == brute(rows)
+
+
+def test_pair_is_made_once(spark):
+    """Copies with changes that do not reach the similarity: few rows for each pair, not one for each n-gram they share."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(600)]
+    rows = []
+    for i in range(24):
+        words = list(base)
+        for at in rng.sample(range(600), 22):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    grams = [sets(t) for _, t in rows]
+    assert not any(100 * len(a & b) >= 75 * len(a | b) for k, a in enumerate(grams) for b in grams[:k])
+    docs = spark.createDataFrame(rows, "id long, text string")
+    heads = nj.described(docs, nj.frequency_table(docs)).filter("n > 0")
+    lists = heads.select("id", "n", nj.F.size("head").alias("merged"), nj.F.explode("head").alias("gram"), nj.F.col("id").alias("comp"))
+    lists = lists.join(lists.groupBy("gram").count().filter("count > 1").select("gram"), "gram")
+    found = lists.collect()
+    postings = [{r.gram for r in found if r.id == i} for i in range(24)]
+    shared = sum(len(a & b) for k, a in enumerate(postings) for b in postings[:k])
+    nodes = nj.store(nj._nodes(lists, nj._parities(heads)))
+    met = nj._meetings(nodes, nj.PERCENT).collect()
+    made = {(r.x.id, r.y.id) for r in met}
+    # a row for each shared n-gram would be ``shared`` rows
+    assert shared > 20 * 276 and len(met) < 5 * 276, (shared, len(met))
+    # every pair that meets in enough lists is among them and is found, and no other
+    n = {r.id: (r.n, len(r.head)) for r in heads.collect()}
+    least = lambda a, b: max(1, nj.required(n[a][0], n[b][0]) - max(n[a][0] - n[a][1], n[b][0] - n[b][1]))
+    enough = {(a, b) for b in range(24) for a in range(b) if len(postings[a] & postings[b]) >= least(a, b)}
+    assert enough <= made and {(r.a, r.b) for r in nj._between_components(lists, nj._parities(heads), nj.PERCENT).collect()} <= enough
+    assert result(spark, rows) == brute(rows)
