@@ -232,7 +232,10 @@ def _look_back(tx: DataFrame, days: int) -> DataFrame:
         event(first, F.when(all_late, 0).otherwise(-1), [F.col(f"{c}_late") - F.col(c) for c in sums], nothing),
         event(F.date_add(first, 7), F.when(all_late, -1).otherwise(0), [-F.col(f"{c}_late") for c in sums], nothing),
     )
-    moved = weekly.repartition("customer_id").select("customer_id", F.inline(events))
+    # a written week takes some fifty times its bytes in memory once its events are summed and sorted, so small partitions
+    # are not joined to the size that suits other shuffles: a given number of them is left as it is
+    spread = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moved = weekly.repartition(spread, "customer_id").select("customer_id", F.inline(events))
     at = moved.groupBy("customer_id", "feature_ts").agg(*[F.sum(c).alias(c) for c in ("_weeks", *sums)], F.max("_last").alias("_last"))
     in_order = Window.partitionBy("customer_id").orderBy("feature_ts")
     upto = in_order.rowsBetween(Window.unboundedPreceding, 0)

@@ -36,3 +36,12 @@ def test_look_back_equals_the_window(spark, days):
 def test_short_windows_are_refused(spark):
     with pytest.raises(ValueError):
         customer_view_pit(spark.createDataFrame([], "customer_id int, tx_date date, revenue double, units double"), 6)
+
+
+def test_partitions_of_the_look_back_are_not_joined(spark):
+    """Small partitions of weeks stay small: their events take far more memory than their bytes say."""
+    from forecastops.operators.features import _look_back
+
+    tx = spark.createDataFrame([(1, dt.date(2021, 1, 4), 1.0, 1.0)], "customer_id int, tx_date date, revenue double, units double")
+    plan = _look_back(tx, 28)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
