@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecastops.llm.components import components
-from forecastops.session import cut, small_side, store
+from forecastops.session import cut, python_batches, small_side, store
 
 #: Words of an n-gram, and similarity in per cent from which documents are linked.
 WORDS, PERCENT = 5, 75
@@ -188,6 +188,12 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with nothing; rows that repeat an id are one document and share its component; a null id has a null component and no
     links; an empty table gives no rows. Equal word sequences are one node from the start. Ids are integers.
     """
+    # all Python work is done when this returns; what is left to compute are joins
+    with python_batches(docs.sparkSession):
+        return _groups(docs, id_col, text_col, k, percent)
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = store(described(texts, frequency_table(texts, k=k), k, percent))
     named = known.filter("id is not null and n > 0")

@@ -182,3 +182,20 @@ def test_pair_is_made_once(spark):
     enough = {(a, b) for b in range(24) for a in range(b) if len(postings[a] & postings[b]) >= least(a, b)}
     assert enough <= made and {(r.a, r.b) for r in nj._between_components(lists, nj._parities(heads), nj.PERCENT).collect()} <= enough
     assert result(spark, rows) == brute(rows)
+
+
+def test_python_gets_texts_in_small_batches(spark, monkeypatch):
+    """3,000 texts of 5 kB came to Python as one batch of 15 MB; a batch's size decides the memory of executor and worker."""
+    name, largest, given = "spark.sql.execution.arrow.maxBytesPerBatch", [], nj.described
+
+    def noted(docs, *args, **named):
+        sizes = docs.mapInPandas(lambda batches: (pd.DataFrame({"n": [b["text"].str.len().sum()]}) for b in batches), "n long")
+        largest.append(sizes.agg({"n": "max"}).first()[0])
+        return given(docs, *args, **named)
+
+    monkeypatch.setattr(nj, "described", noted)
+    before = spark.conf.get(name, None)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat(concat(lpad(id, 9, 'w'), ' '), 500) as text")
+    assert nj.join_groups(docs).count() == 3000
+    assert largest and max(largest) < 5 << 20
+    assert spark.conf.get(name, None) == before
